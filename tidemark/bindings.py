@@ -176,7 +176,8 @@ DOMAIN_SQL: dict[str, str] = {
                l_returnflag, l_linestatus, l_shipdate, cast(cast(l_shipdate as date) as string) as d
         from lineitem""",
     "medicine_import_details": f"""
-        select lot_id as id, l_suppkey as clinic_id, l_partkey as medicine_id,
+        select lot_id as id, l_suppkey as clinic_id,
+               case when l_partkey % 89 = 5 then -1 else l_partkey end as medicine_id,
                'L' || cast(l_partkey as string) as lot_number,
                cast(l_quantity as bigint) as total,
                cast(cast(l_extendedprice as decimal(18,2)) as string) as import_price,
