@@ -20,6 +20,7 @@ import __spark_entry__ as entry
 from tidemark.bindings import BASE_TABLES
 from tidemark.session import build_session
 
+ORACLES = entry.oracle_sql()
 TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
@@ -48,7 +49,7 @@ def compare(spark, con, name: str, folder: str) -> str | None:
     df = entry.queries()[name](spark, folder)
     cols = sorted(df.columns)
     rows = sorted(repr(tuple(r[c] for c in cols)) for r in df.collect())
-    sql = entry.oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql is None:
         return None if rows else "no rows and no check SQL"
     rel = con.sql(sql)
@@ -92,7 +93,7 @@ def main() -> int:
         took = time.time() - start
         failed += problem is not None
         mark = "ok  " if problem is None else "FAIL"
-        note = "" if name in entry.oracle_sql() else " (rows only)"
+        note = "" if name in ORACLES else " (rows only)"
         print(f"{mark} {name} {took:.1f}s{note}" + (f"\n     {problem}" if problem else ""), flush=True)
     print(f"{len(names) - failed} of {len(names)} ok")
     return 1 if failed else 0

@@ -219,6 +219,58 @@ DOMAIN_SQL: dict[str, str] = {
                case when o_orderkey % 41 = 0 then null else o_orderpriority end as code,
                'name ' || o_orderpriority as name
         from orders""",
+    "raw_orders_text": """
+        select case when o_orderkey % 101 = 0 then null else cast(o_orderkey as string) end as id,
+               '  ' || o_orderpriority || ' ' as code,
+               case when o_orderkey % 103 = 0 then null when o_orderkey % 5 = 0 then ''
+                    else o_orderstatus end as status,
+               case when o_orderkey % 7 = 0 then '' when o_orderkey % 11 = 0 then 'bad'
+                    when o_orderkey % 13 = 0 then '0000-01-01 00:00:00.000000'
+                    when o_orderkey % 17 = 0 then '12000-01-01 00:00:00.000000'
+                    when o_orderkey % 19 = 0 then null
+                    else cast(o_orderdate as string) || '.000000' end as created_at,
+               cast(o_orderdate + interval '5' day as string) || '.000000' as updated_at,
+               case when o_orderkey % 29 = 0 then 'abc'
+                    else cast(cast(o_totalprice as decimal(18,2)) as string) end as price,
+               case when o_orderkey % 31 = 0 then '' when o_orderkey % 37 = 0 then 'x'
+                    else cast(cast(o_orderdate as date) as string) end as ship_date,
+               case when o_orderkey % 43 = 0 then '2001-01-01 00:00:00.000000' end as deleted_at
+        from orders
+        union all
+        select cast(o_orderkey as string), 'old', 'F', null,
+               cast(o_orderdate as string) || '.000000', '1.00', null, null
+        from orders where o_orderkey % 50 = 11""",
+    "silver_orders": """
+        select case when o_orderkey % 101 = 0 then null else o_orderkey end as id,
+               case o_orderkey % 5 when 0 then '  ' when 1 then 'unknown' when 2 then ' Bob '
+                    when 3 then null else o_orderpriority end as name,
+               case o_orderkey % 7 when 0 then 'UNKNOWN' when 1 then '' else 'nick' end as nick,
+               case when o_orderkey % 6 = 0 then null else o_custkey end as clinic_id,
+               case when o_orderkey % 8 = 0 then null else o_orderkey % 4 - 1 end as qty,
+               case o_orderkey % 9 when 0 then 'abc' when 1 then '-3' when 2 then '0'
+                    when 3 then null when 4 then '100.5' else '12.5' end as amount,
+               case o_orderkey % 10 when 0 then '{' || cast(o_orderdate as string) || ', 0}'
+                    when 1 then 'bad' when 2 then null else cast(o_orderdate as string) end
+                 as created_at,
+               case o_orderkey % 4 when 0 then 'Male' when 1 then 'female' when 2 then 'x' end
+                 as gender,
+               case when o_orderkey % 59 = 0 then null else o_orderpriority end as ref,
+               case when o_orderkey % 61 = 0 then null else 1 end as must,
+               case when o_orderkey % 12 = 0 then null when o_orderkey % 33 = 0 then true
+                    else false end as is_deleted,
+               o_orderdate as __commit_ts, o_orderkey * 2 as __lsn_num
+        from orders
+        union all
+        select o_orderkey, 'stale', 'nick', 1, 1, '1', null, null, 'r', 1, false,
+               o_orderdate - interval '1' day, o_orderkey * 2 + 1
+        from orders where o_orderkey % 50 = 11""",
+    "value_texts": """
+        select event_id, '{' || cast(cast(value as decimal(18,2)) as string) || ', 0}' as tuple_text,
+               case event_id % 4 when 0 then 'none' when 1 then '-' || cast(event_id as string) || 'x'
+                    else cast(cast(value as decimal(18,2)) as string) end as loose_text,
+               case event_id % 3 when 0 then '{' || cast(ts as string) || ', 0}'
+                    when 1 then cast(ts as string) else 'n/a' end as ts_text
+        from events""",
 }
 
 _NAMES = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")

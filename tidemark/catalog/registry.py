@@ -54,7 +54,7 @@ def query(name: str, oracle: str | None = None):
         run.__name__ = name
         QUERIES[name] = run
         if oracle is not None:
-            ORACLES[name] = assemble(oracle)
+            ORACLES[name] = oracle
         return fn
 
     return wrap

@@ -67,17 +67,13 @@ def lookback_days(
     legacy_key_math: bool = False,
 ) -> DataFrame:
     """Rows inside the lookback, with the bound computed inside the plan from ``target``."""
-    high = F.coalesce(F.max(target_key), F.lit(FLOOR_KEY + (days if legacy_key_math else 0)))
+    high = F.max(target_key)
     if legacy_key_math:
-        bound = target.agg((high - days).cast("long").alias("__bound"))
+        bound = F.coalesce(high - days, F.lit(FLOOR_KEY))
     else:
-        day = F.date_sub(key_to_date(high), days)
-        bound = target.agg(
-            (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day))
-            .cast("long")
-            .alias("__bound")
-        )
-    return rows.join(F.broadcast(bound), F.col(key) >= F.col("__bound")).drop("__bound")
+        day = F.date_sub(key_to_date(F.coalesce(high, F.lit(FLOOR_KEY))), days)
+        bound = F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
+    return rows.filter(F.col(key) >= target.agg(bound.cast("long")).scalar())
 
 
 def incremental_merge(

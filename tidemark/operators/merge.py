@@ -36,18 +36,16 @@ def run_scoped_source(
 
 
 def above_watermark(stage: DataFrame, watermark: DataFrame) -> DataFrame:
-    """As ``run_scoped_source`` but against a one-row watermark frame, all inside one plan."""
-    bound = watermark.select(
-        F.coalesce(F.max("last_lsn_num"), F.lit(0)).cast(SEQUENCE).alias("__wm_lsn"),
-        F.coalesce(F.max("last_inferred_seq"), F.lit(0)).cast(SEQUENCE).alias("__wm_inf"),
-    )
+    """As ``run_scoped_source`` but against a watermark frame, read by scalar subqueries."""
+
+    def bound(name: str) -> Column:
+        return watermark.agg(F.coalesce(F.max(name), F.lit(0)).cast(SEQUENCE)).scalar()
+
     flag = F.col("__lsn_num_inferred").cast("boolean")
     seq = F.col("__lsn_num").try_cast(SEQUENCE)
-    keep = (~F.coalesce(flag, F.lit(False)) & (seq > F.col("__wm_lsn"))) | (
-        F.coalesce(flag, F.lit(True)) & (seq > F.col("__wm_inf"))
-    )
-    # The bound is a global aggregate, hence exactly one row.
-    return stage.join(F.broadcast(bound), keep, "inner").drop("__wm_lsn", "__wm_inf")
+    real = ~F.coalesce(flag, F.lit(False)) & (seq > bound("last_lsn_num"))
+    inferred = F.coalesce(flag, F.lit(True)) & (seq > bound("last_inferred_seq"))
+    return stage.filter(real | inferred)
 
 
 def business_columns(contract: Contract, zone: str = "UTC") -> list[Column]:
