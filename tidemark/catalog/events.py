@@ -227,7 +227,7 @@ cte(
 )
 cte(
     "scoped_r2",
-    """select s.* from staged s, wm20 w where run = 'r2'
+    """select s.* from staged s cross join wm20 w where run = 'r2'
          and ((not coalesce(inferred, false) and seq > coalesce(w.last_lsn_num, 0))
            or (coalesce(inferred, true) and seq > coalesce(w.last_inferred_seq, 0)))""",
 )
@@ -313,7 +313,7 @@ def _(wh):
              as last_inferred_seq,
            strftime(greatest(w.last_commit_ts, x.ts), '%Y-%m-%d %H:%M:%S.%f') as last_commit_ts,
            'r2' as last_run_id
-    from wm20 w, (select max(case when not coalesce(inferred, false) then seq end) as lsn,
+    from wm20 w cross join (select max(case when not coalesce(inferred, false) then seq end) as lsn,
                          max(case when coalesce(inferred, true) then seq end) as inf, max(ts) as ts
                   from scoped_r2) x
     union all

@@ -156,7 +156,7 @@ def _(wh):
 
 @query(
     "a12_run_history",
-    """select 'snapshot' as source, 'run-1' as run_id, 'FAILED' as status, 2 as tables_processed,
+    """select 'snapshot' as source, 'run-1' as run_id, 'FAILED' as status, 2::bigint as tables_processed,
               (select count(*) from silver_orders where id is not null and ref is not null)
               + (select count(*) from orders) as total_rows_ok,
               (select count(*) from silver_orders where id is null or ref is null)
