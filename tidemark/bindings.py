@@ -264,6 +264,97 @@ DOMAIN_SQL: dict[str, str] = {
         select o_orderkey, 'stale', 'nick', 1, 1, '1', null, null, 'r', 1, false,
                o_orderdate - interval '1' day, o_orderkey * 2 + 1
         from orders where o_orderkey % 50 = 11""",
+    "manual_medicines": """
+        select case when p_partkey % 3 = 0 then 'M' else 'N' end || cast(p_partkey as string)
+                 as ma_thuoc,
+               'new ' || p_name as ten_thuoc, 'Q' || cast(p_size as string) as ma_duoc_qg,
+               p_type as loai_hang_hoa, p_brand as nhom_thuoc, '10x10' as quy_cach_dong_goi,
+               'vien' as don_vi_tinh, 'oral' as duong_dung, p_name as hoat_chat,
+               cast(p_size as string) || 'mg' as nong_do_ham_luong,
+               cast(p_size as string) as gia_ban, p_brand as hang_san_xuat, 'VN' as nuoc_san_xuat,
+               '8' as vat
+        from part""",
+    "manual_inventory": """
+        select 'M' || cast(l_partkey as string) as ma_thuoc,
+               case when l_partkey % 13 = 0 then 'many' else cast(cast(l_quantity as bigint) as string)
+               end as so_luong,
+               cast(cast(l_shipdate as date) as string) as ngay_het_han,
+               cast(cast(l_extendedprice as decimal(18,2)) as string) as gia_nhap
+        from lineitem""",
+    "manual_patients": """
+        select c_name as name, case when c_custkey % 10 = 3 then '09' || lpad(cast(c_custkey as string), 8, '0')
+                 else '08' || lpad(cast(c_custkey as string), 8, '0') end as phone_number,
+               c_name || '@x.vn' as email,
+               case c_custkey % 4 when 0 then 'Male' when 1 then 'FEMALE' when 2 then 'other' end
+                 as gender,
+               case when c_custkey % 7 = 0 then 'unknown' else
+                 cast(date '1960-01-01' + cast(c_custkey % 15000 as int) as string) || ' 00:00:00' end
+                 as birthday,
+               'addr' as address
+        from customer""",
+    "medicine_imports": """
+        select o_orderkey as id, 'IMP_' || cast(o_orderkey as string) as code,
+               cast(cast(o_orderdate as date) as string) as import_date, false as is_deleted,
+               cast(o_orderdate as string) as created_at
+        from orders""",
+    "ops_logs": """
+        select event_id, ts, case event_type when 'error' then 'ERROR' when 'purchase'
+                 then 'CRITICAL' else 'INFO' end as severity,
+               'component_' || cast(user_id % 5 as string) as component,
+               case event_id % 6 when 1 then 'dag_id=d' || cast(user_id % 3 as string) || ' run_id=r'
+                      || cast(cast(ts as date) as string) || ' failed'
+                    when 2 then 'dag: x1, run-id: m' || cast(event_id % 40 as string) || ' success'
+                    when 3 then '/dags/d9 Running timeout'
+                    when 4 then 'DAG_ID: d' || cast(user_id % 3 as string) || ', RUN_ID=r'
+                      || cast(cast(ts as date) as string) || ', state=success'
+                    when 5 then '/streams/s' || cast(user_id % 4 as string)
+                      || ' Permission denied traceback' end as text_payload,
+               case event_id % 4 when 0 then '{"event_type":"' || event_type || '","stream_id":"j'
+                      || cast(user_id % 3 as string) || '","message":"backlog grows"}'
+                    when 1 then '{"methodName":"m' || cast(user_id % 20 as string)
+                      || '","path":"projects/p/streams/t1","status":{"message":"ok"}}'
+                    when 2 then '{}' end as json_payload,
+               case when event_id % 9 = 0 then '{"labels":{"stream_id":"q1"}}' else '{"labels":{}}'
+               end as resource,
+               case event_type when 'signup' then 'storage.objects.create' when 'error'
+                 then 'storage.objects.delete' else 'storage.objects.get' end as method_name,
+               case when event_id % 3 = 0 then null else 'projects/_/buckets/b'
+                 || cast(user_id % 2 as string) || '/objects/cdc/t' || cast(user_id % 3 as string)
+                 || '/x.parquet' end as resource_name,
+               case when event_id % 3 = 0 and event_id % 2 = 0 then 'https://h/b/b9/o/raw/f?alt=1'
+               end as request_url,
+               cast(case event_id % 10 when 0 then 404 when 1 then 503 else 200 end as bigint)
+                 as http_status,
+               case event_id % 10 when 0 then 'FAILED' when 2 then null else 'SUCCESS' end as status,
+               'loc' || cast(user_id % 2 as string) as location,
+               'job' || cast(user_id % 7 as string) as job_id
+        from events""",
+    "dag_runs": """
+        select event_type as dag_id, cast(event_id as string) as run_id,
+               case user_id % 4 when 0 then 'FAILED' when 1 then null else 'Success' end as status,
+               ts as start_ts, ts + (event_id % 50) * interval '1' minute as end_ts,
+               case when event_id % 5 <> 0 then (event_id % 50) * 60.0e0 + 1 end as duration_sec
+        from events""",
+    "warehouse_jobs": """
+        select ts as creation_time, ts + cast(floor(value) as int) * interval '1' second as end_time,
+               case when event_type = 'error' then 'bad' end as error_result,
+               case when event_type = 'click' then 'LOAD' else 'QUERY' end as job_type,
+               case event_id % 5 when 0 then 'MERGE into x' when 1 then 'select 1'
+                 when 2 then 'Create Table y' when 3 then 'run dbt model' else 'emerge' end as query,
+               event_id as total_bytes_processed, user_id as total_slot_ms
+        from events""",
+    "messages": """
+        select event_id, case when event_id % 17 = 0 then '{broken'
+          else case when event_id % 5 = 0 then '' else '{"payload":' end
+            || '{"op":"' || case when event_type = 'error' then 'd' when event_type = 'view' then 'u'
+                                 when event_id % 2 = 0 then 'C' else 'c' end
+            || '","ts_ms":' || case when event_id % 23 = 0 then 'null' else cast(EPOCHMS(ts) as string) end
+            || case when event_id % 11 = 0 then '' else ',"source":{"schema":"public","table":"'
+                 || case when event_id % 13 = 0 then 'users' else 'Clinic_Bookings' end || '"}' end
+            || ',"before":null,"after":' || case when event_id % 19 = 0 then '{}' else
+                 '{"id":' || cast(event_id as string) || '}' end || '}'
+            || case when event_id % 5 = 0 then '' else '}' end end as value
+        from events""",
     "value_texts": """
         select event_id, '{' || cast(cast(value as decimal(18,2)) as string) || ', 0}' as tuple_text,
                case event_id % 4 when 0 then 'none' when 1 then '-' || cast(event_id as string) || 'x'
@@ -277,7 +368,7 @@ _NAMES = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
 def _dialect(sql: str, spark: bool) -> str:
-    """Expand HASH60(...) and identifier quotes for one engine."""
+    """Expand HASH60(...), EPOCHMS(ts) and identifier quotes for one engine."""
     out, pos = [], 0
     while (start := sql.find("HASH60(", pos)) >= 0:
         depth, end = 1, start + len("HASH60(")
@@ -293,6 +384,8 @@ def _dialect(sql: str, spark: bool) -> str:
         )
         pos = end
     text = "".join(out) + sql[pos:]
+    stamp = "unix_millis(cast(ts as timestamp))" if spark else "(epoch_us(ts) // 1000)"
+    text = text.replace("EPOCHMS(ts)", stamp)
     return text.replace('"group"', "`group`") if spark else text
 
 

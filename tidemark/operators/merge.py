@@ -85,12 +85,14 @@ def merge_upsert(
     keys: Sequence[str],
     when: str | None = "newer",
     source_is_unique: bool = False,
+    insert_only: Sequence[str] = (),
 ) -> DataFrame:
     """New version of ``target``: matched rows take the source's values, others are inserted.
 
     ``when='newer'`` updates only if the source sequence is higher (a null target
     sequence counts as -1); ``when=None`` always updates.  Columns the source does not
-    have keep the target's value.  Nothing is ever deleted; deletes are flag updates.
+    have, and those in ``insert_only`` on matched rows, keep the target's value.  Nothing
+    is ever deleted; deletes are flag updates.
     A source key that occurs twice fails the job, as a merge must; ``source_is_unique``
     skips that check where the source was just reduced to one row per key.
     """
@@ -114,7 +116,8 @@ def merge_upsert(
             return F.coalesce(F.col(f"t.{name}"), F.col(f"s.{name}")).alias(name)
         if name not in source.columns:
             return F.col(f"t.{name}").alias(name)
-        return F.when(take, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name)
+        use_source = take & ~t_hit if name in insert_only else take
+        return F.when(use_source, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name)
 
     return joined.select(*[merged(c) for c in cols])
 
