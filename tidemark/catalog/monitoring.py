@@ -396,20 +396,18 @@ def _(wh):
 @query(
     "m14_sustained_breaches",
     """with points as (
-         select 'ops/jobs/failed_ratio' as metric, 'all' as labels, date_trunc('minute', ts) as ts,
-                count(*) filter (where event_type = 'error') / count(*) as value from events group by all)
+         select 'ops/jobs/failed_ratio' as metric, event_type as labels, date_trunc('minute', ts) as ts,
+                count(*) filter (where value > 20) / count(*) as value from events group by all)
        select metric, labels, ts::varchar as ts, value, '>' as op, 0.05::double as bound, 'warning' as severity,
               15::bigint as minutes
-       from (select *, min(value) over (order by ts range between interval 15 minute preceding
-                                        and current row) as low from points)
+       from (select *, min(value) over (partition by labels order by ts range between
+                    interval 15 minute preceding and current row) as low from points)
        where low > 0.05""",
 )
 def _(wh):
     minute = F.date_trunc("minute", F.col("ts").cast("timestamp"))
-    points = wh["events"].groupBy(minute.alias("ts")).agg(
-        F.try_divide(F.count_if(F.col("event_type") == "error"), F.count(F.lit(1))).alias("value")
-    )
-    series = points.select(
-        F.lit("ops/jobs/failed_ratio").alias("metric"), F.lit("all").alias("labels"), "ts", "value"
+    points = wh["events"].groupBy(F.col("event_type").alias("labels"), minute.alias("ts")).agg(
+        F.try_divide(F.count_if(F.col("value") > 20), F.count(F.lit(1))).alias("value")
     )
+    series = points.select(F.lit("ops/jobs/failed_ratio").alias("metric"), "labels", "ts", "value")
     return mon.breaches(series)

@@ -269,7 +269,7 @@ def _(wh):
     return rel.exact_percentile(wh["events"], ["event_type"], "value", 0.95, "p95")
 
 
-@query("f08_p95_approximate")
+@query("f08_p95_approximate", "select event_type, quantile_disc(value, 0.95) as p95 from events group by 1")
 def _(wh):
     return wh["events"].groupBy("event_type").agg(
         F.percentile_approx("value", 0.95).alias("p95")

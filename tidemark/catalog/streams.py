@@ -87,16 +87,14 @@ def _(wh):
     return _alerts(wh)
 
 
-# Alerts per user: every event of a user is one alert of that key.
+# One alert per user and ten-minute window with at least one event.
 cte(
     "user_alerts",
-    "select 'u' || user_id as alert_key, ts as event_time, event_id from events",
+    """select 'u' || user_id as alert_key, time_bucket(interval 10 minute, ts) as event_time,
+              count(*) as total_events from events group by all""",
 )
 _COOLDOWN = 6 * 3600
-cte(
-    "sent_chain",
-    """select alert_key, min(event_time) as t from user_alerts group by 1""",
-)
+cte("sent_chain", "select alert_key, min(event_time) as t from user_alerts group by 1")
 
 
 @query(
@@ -108,17 +106,18 @@ cte(
       select c.alert_key, (select min(u.event_time) from user_alerts u where u.alert_key = c.alert_key
                              and u.event_time >= c.t + interval {_COOLDOWN} second) as t
       from chain c where t is not null)
-    select u.event_id, u.alert_key, exists (select 1 from chain c where c.alert_key = u.alert_key
-             and c.t = u.event_time) as emitted
+    select u.alert_key, u.event_time::varchar as event_time, u.total_events,
+           exists (select 1 from chain c where c.alert_key = u.alert_key
+                   and c.t = u.event_time) as emitted
     from user_alerts u""",
 )
 def _(wh):
-    alerts = wh["events"].select(
-        F.concat(F.lit("u"), "user_id").alias("alert_key"),
-        F.col("ts").cast("timestamp").alias("event_time"),
-        "event_id",
+    window = F.window(F.col("ts").cast("timestamp"), "10 minutes")["start"]
+    key = F.concat(F.lit("u"), "user_id")
+    alerts = wh["events"].groupBy(key.alias("alert_key"), window.alias("event_time")).agg(
+        F.count(F.lit(1)).alias("total_events")
     )
-    return cooldown_batch(alerts, seconds=_COOLDOWN).select("event_id", "alert_key", "emitted")
+    return cooldown_batch(alerts, seconds=_COOLDOWN)
 
 
 @query(

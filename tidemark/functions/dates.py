@@ -73,15 +73,27 @@ def minutes_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MINUTE", start, end)
 
 
+_DAY_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
+
+
 def loose_date(c: Column | str) -> Column:
-    """Date from ``dd/MM/yyyy``, from the first ISO date in the text, or by plain cast."""
+    """Date from ``dd/MM/yyyy``, from the first ISO date in the text, or by plain cast.
+
+    The day-first form is turned round by pattern and then cast: a pattern-based date
+    parser would raise and catch an exception for every text in another form.
+    """
     text = _col(c).cast("string")
-    iso = F.nullif(F.regexp_extract(text, r"(\d{4}-\d{2}-\d{2})", 1), F.lit(""))
-    return F.coalesce(
-        F.try_to_timestamp(text, F.lit("dd/MM/yyyy")).cast("date"),
-        iso.try_cast("date"),
-        text.try_cast("date"),
-    )
+    turned = F.regexp_replace(text, _DAY_FIRST, "$3-$2-$1")
+    day_first = F.when(text.rlike(_DAY_FIRST), turned.try_cast("date"))
+    return F.coalesce(day_first, iso_date_in(text), text.try_cast("date"))
+
+
+def strict_timestamp(c: Column | str, fraction: bool) -> Column:
+    """``yyyy-MM-dd HH:mm:ss``, with exactly six fraction digits if asked, else null."""
+    text = _col(c)
+    tail = r"\.\d{6}" if fraction else ""
+    shape = rf"^\d{{4}}-\d{{2}}-\d{{2}} \d{{2}}:\d{{2}}:\d{{2}}{tail}$"
+    return F.when(text.rlike(shape), text.try_cast("timestamp"))
 
 
 def iso_date_in(c: Column | str) -> Column:

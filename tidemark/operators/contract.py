@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import as_timestamp, is_sentinel, sentinel
+from tidemark.functions.dates import as_timestamp, is_sentinel, sentinel, strict_timestamp
 from tidemark.operators.rows import all_of, any_of, keep_first, tie_break
 
 _IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
@@ -94,7 +94,7 @@ def guarded_timestamp(c: Column) -> Column:
     return (
         F.when(c.isNull() | (c == ""), F.lit(None).cast("timestamp"))
         .when(year.isNull() | (year < 1) | (year > 9999), sentinel())
-        .otherwise(F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")))
+        .otherwise(strict_timestamp(c, fraction=True))
     )
 
 

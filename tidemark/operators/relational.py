@@ -65,20 +65,35 @@ def exact_percentile(
 ) -> DataFrame:
     """Discrete percentile: the smallest value whose cumulative share reaches ``fraction``.
 
-    Works on the histogram of distinct values, pre-aggregated before the shuffle.  For
-    continuous values with next to no repeats use ``percentile_approx`` instead.
+    A sketch first brackets the answer (its rank error is far inside the bracket).  Values
+    below the bracket are only counted and those above dropped, so the cumulative window
+    sees the few distinct values inside it, however many rows a group has.
     """
-    hist = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias("__n")
+    margin = 0.001
+    points = F.array(F.lit(max(0.0, fraction - margin)), F.lit(min(1.0, fraction + margin)))
+    known = df.select(*keys, value).filter(F.col(value).isNotNull())
+    bounds = known.groupBy(*keys).agg(
+        F.percentile_approx(value, points, 10_000).alias("__b"), F.count(F.lit(1)).alias("__total")
+    )
+    low, high = F.col("__b")[0], F.col("__b")[1]
+    bounds = bounds.select(*[F.col(k).alias(f"__{k}") for k in keys], "__b", "__total")
+    same_key = all_of([known[k].eqNullSafe(bounds[f"__{k}"]) for k in keys])
+    hist = (
+        known.join(bounds, same_key)
+        .filter(F.col(value) <= high)
+        .groupBy(*keys, "__total", F.when(F.col(value) >= low, F.col(value)).alias("__v"))
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    upto = (
+        Window.partitionBy(*keys)
+        .orderBy(F.col("__v").asc_nulls_first())
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    totals = hist.groupBy(*keys).agg(F.sum("__n").alias("__total"))
-    upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     return (
         hist.withColumn("__cum", F.sum("__n").over(upto))
-        .join(totals, list(keys))
-        .filter(F.col("__cum") >= F.col("__total") * fraction)
+        .filter(F.col("__v").isNotNull() & (F.col("__cum") >= F.col("__total") * fraction))
         .groupBy(*keys)
-        .agg(F.min(value).alias(name))
+        .agg(F.min("__v").alias(name))
     )
 
 

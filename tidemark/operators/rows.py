@@ -78,7 +78,7 @@ def next_time_after(
     event_time: str,
     candidate_time: str,
     name: str,
-    bucket: str = "day",
+    bucket_seconds: int = 3600,
 ) -> DataFrame:
     """For every event the earliest candidate of the same key strictly after it (forward as-of).
 
@@ -87,11 +87,9 @@ def next_time_after(
     answer, taken from a frame with one row per (key, bucket).  No inequality join is
     built, and a hot key is spread over its buckets.
     """
-    # The bucket is ``long`` epoch units, so windows sort integers.
-    step = {"hour": 3600, "day": 86400}[bucket]
 
     def bucket_of(c: Column) -> Column:
-        return F.floor(F.unix_micros(c.cast("timestamp")) / (step * 1_000_000)).cast("long")
+        return F.floor(F.unix_seconds(c.cast("timestamp")) / bucket_seconds).cast("long")
 
     cand = candidates.select(F.col(key), F.col(candidate_time).alias("__ct")).filter(
         F.col("__ct").isNotNull()

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import strict_timestamp
 from tidemark.functions.keys import surrogate_key
 from tidemark.operators.contract import MANUAL_SEQUENCE
 from tidemark.operators.merge import merge_upsert
@@ -95,7 +96,7 @@ def gender_code(c: Column) -> Column:
 
 
 def new_users(file: DataFrame, now: Column) -> DataFrame:
-    born = F.try_to_timestamp("birthday", F.lit("yyyy-MM-dd HH:mm:ss"))
+    born = strict_timestamp("birthday", fraction=False)
     return file.select(
         surrogate_key("phone_number").alias("id"),
         F.col("name").alias("full_name"),

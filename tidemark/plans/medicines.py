@@ -49,4 +49,4 @@ def drug_codes(medicines: DataFrame, extra: bool = False) -> DataFrame:
         ),
     )
     joined = F.concat(F.upper(F.trim("drug_code")), F.lit("__"), F.upper(F.trim("manufacturer_code")))
-    return coded.withColumn("master_drug_code", F.trim(joined, F.lit("_")))
+    return coded.withColumn("master_drug_code", F.btrim(joined, F.lit("_")))

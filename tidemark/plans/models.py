@@ -60,11 +60,15 @@ class Warehouse(Mapping):
             return self._built[name]
         if name not in MODELS:
             return self._sources[name]
-        m = MODELS[name]
-        options = {k: v for k, v in self._options.items() if k in m.options}
-        self._built[name] = m.build(*[self[i] for i in m.inputs], **options)
+        self._built[name] = self.build(name)
         return self._built[name]
 
+    def build(self, name: str, **options) -> DataFrame:
+        """A fresh build of one model; ``options`` add to those given for all models."""
+        m = MODELS[name]
+        wanted = {k: v for k, v in {**self._options, **options}.items() if k in m.options}
+        return m.build(*[self[i] for i in m.inputs], **wanted)
+
     def put(self, name: str, df: DataFrame) -> None:
         """Use a stored table in place of a model, e.g. after it was materialised."""
         self._built[name] = df

@@ -13,6 +13,7 @@ _RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     # Splits one hot join key over several tasks even if that costs an extra shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -28,6 +29,11 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
     for key, value in _RUNTIME.items():
         spark.conf.set(key, value)
+    # A wide cluster left at the default number of shuffle partitions starts with more of
+    # them; adaptive execution merges what turns out small.
+    wide = 4 * spark.sparkContext.defaultParallelism
+    if spark.conf.get("spark.sql.shuffle.partitions") == "200" and wide > 200:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wide))
     return spark
 
 

@@ -116,7 +116,9 @@ def read_cdc(spark: SparkSession, paths: Sequence[str] | str, fmt: str = "avro")
 # --- staging, quarantine, stage tables -----------------------------------------------------
 
 
-def write_ok_bad(ok: DataFrame, bad: DataFrame, ok_path: str, bad_path: str) -> dict[str, int]:
+def write_ok_bad(
+    ok: DataFrame, bad: DataFrame, ok_path: str, bad_path: str, reason: str = "reason_code"
+) -> dict[str, int]:
     """Write both parts and return their counts, taken in the same pass as the write.
 
     Quarantine is laid out by reason; nothing is written there when no row is bad.
@@ -129,7 +131,7 @@ def write_ok_bad(ok: DataFrame, bad: DataFrame, ok_path: str, bad_path: str) ->
         (
             bad.observe(seen_bad, F.count(F.lit(1)).alias("bad"))
             .write.mode("overwrite")
-            .partitionBy("reason_code")
+            .partitionBy(reason)
             .parquet(bad_path)
         )
         counts["quarantine"] = seen_bad.get["bad"]
@@ -245,7 +247,7 @@ def folder_key(file_path: Column, prefix: str) -> Column:
     """Sub-folder directly below ``prefix`` as a safe lower-case key, null when there is none."""
     rest = F.substring_index(file_path, prefix, -1)
     folder = F.lower(F.trim(F.split(rest, "/").getItem(0)))
-    safe = F.trim(F.regexp_replace(folder, "[^a-z0-9_]+", "_"), F.lit("_"))
+    safe = F.btrim(F.regexp_replace(folder, "[^a-z0-9_]+", "_"), F.lit("_"))
     inside = file_path.contains(prefix) & (F.size(F.split(rest, "/")) > 1)
     return F.when(inside, F.nullif(safe, F.lit("")))
 

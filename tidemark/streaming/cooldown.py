@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 COOLDOWN_SECONDS = 900
@@ -22,32 +23,59 @@ def _with_flag(schema, name: str = "emitted"):
     return StructType([*schema.fields, StructField(name, BooleanType())])
 
 
+def _with_run(alerts: DataFrame, key: str, time: str, seconds: int) -> DataFrame:
+    """Number the runs of each key that a quiet period separates.
+
+    Time is cut into slots of the cooldown's length.  A send in one slot can only hold
+    back the next slot, so a slot without any alert makes what follows independent.  The
+    window runs over distinct (key, slot) pairs, not over alerts.
+    """
+    slot = F.floor(F.unix_seconds(time) / seconds).alias("__slot")
+    slotted = alerts.select("*", slot)
+    in_order = Window.partitionBy(key).orderBy("__slot")
+    starts = F.coalesce(F.col("__slot") - F.lag("__slot").over(in_order) > 1, F.lit(True))
+    runs = (
+        slotted.select(key, "__slot")
+        .distinct()
+        .withColumn("__starts", starts)
+        .withColumn("__run", F.count_if("__starts").over(in_order))
+        .drop("__starts")
+    )
+    return slotted.join(runs, [key, "__slot"]).drop("__slot")
+
+
 def cooldown_batch(
     alerts: DataFrame, key: str = "alert_key", time: str = "event_time", seconds: int = COOLDOWN_SECONDS
 ) -> DataFrame:
-    """Mark which alerts are sent.
+    """Mark which alerts are sent; every alert needs a key and a time.
 
-    Rows are hash-partitioned by key and sorted on disk by Spark; Python then walks each
-    partition batch by batch and keeps two values, so memory does not grow with a key.
+    Give it windowed alerts (at most one per key and window): a key then has as many rows
+    as windows, whatever the event volume.  Keys are further split at quiet periods.
+    Spark partitions and sorts on disk; Python walks each partition batch by batch and
+    keeps two values, so memory does not grow with a key.
     """
     schema = _with_flag(alerts.schema)
     names = schema.fieldNames()
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, last_sent = object(), None
+        current, last_sent = None, None
         gap = pd.Timedelta(seconds=seconds)
         for pdf in batches:
             flags = []
-            for k, t in zip(pdf[key], pdf[time]):
-                if k != current:
-                    current, last_sent = k, None
+            for k, run, t in zip(pdf[key], pdf["__run"], pdf[time]):
+                if (k, run) != current:
+                    current, last_sent = (k, run), None
                 sent = last_sent is None or t >= last_sent + gap
                 if sent:
                     last_sent = t
                 flags.append(sent)
             yield pdf.assign(emitted=flags)[names]
 
-    ordered = alerts.repartition(key).sortWithinPartitions(key, time)
+    ordered = (
+        _with_run(alerts, key, time, seconds)
+        .repartition(key, "__run")
+        .sortWithinPartitions(key, "__run", time)
+    )
     return ordered.mapInPandas(walk, schema)
 
 
