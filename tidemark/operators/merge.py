@@ -62,11 +62,17 @@ def business_columns(contract: Contract, zone: str = "UTC") -> list[Column]:
     return out
 
 
-def latest_per_key(source: DataFrame, contract: Contract, zone: str = "UTC") -> DataFrame:
-    """Newest event per key: sequence, then commit time, then run id, all descending."""
+def latest_per_key(
+    source: DataFrame, contract: Contract, zone: str = "UTC", commit_first: bool = False
+) -> DataFrame:
+    """Newest event per key: sequence, then commit time, then run id, all descending.
+
+    Real and inferred sequences share one scale, on which inferred ones always win;
+    ``commit_first`` puts the commit time before the sequence.
+    """
+    by = [F.col("__lsn_num").try_cast(SEQUENCE), F.col("__commit_ts")]
     order = [
-        F.col("__lsn_num").try_cast(SEQUENCE).desc_nulls_last(),
-        F.col("__commit_ts").desc_nulls_last(),
+        *[c.desc_nulls_last() for c in (reversed(by) if commit_first else by)],
         F.col("__run_id").desc_nulls_last(),
         *[F.col(c).desc_nulls_last() for c in _ROW_TIES if c in source.columns],
     ]
@@ -90,7 +96,8 @@ def merge_upsert(
     """New version of ``target``: matched rows take the source's values, others are inserted.
 
     ``when='newer'`` updates only if the source sequence is higher (a null target
-    sequence counts as -1); ``when=None`` always updates.  Columns the source does not
+    sequence counts as -1); ``when='newer_commit'`` compares commit time, then sequence;
+    ``when=None`` always updates.  Columns the source does not
     have, and those in ``insert_only`` on matched rows, keep the target's value.  Nothing
     is ever deleted; deletes are flag updates.
     A source key that occurs twice fails the job, as a merge must; ``source_is_unique``
@@ -102,11 +109,17 @@ def merge_upsert(
     on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     s_hit, t_hit = F.col("s.__hit").isNotNull(), F.col("t.__hit").isNotNull()
     take = s_hit & ~t_hit
+    newer = F.col("s.__lsn_num") > F.coalesce(F.col("t.__lsn_num"), F.lit(-1))
     if when == "newer":
-        older = F.coalesce(F.col("t.__lsn_num"), F.lit(-1))
-        take = take | (s_hit & t_hit & (F.col("s.__lsn_num") > older))
-    else:
+        take = take | (s_hit & t_hit & newer)
+    elif when == "newer_commit":
+        mine, theirs = F.col("s.__commit_ts"), F.col("t.__commit_ts")
+        later = theirs.isNull() | (mine > theirs) | ((mine == theirs) & newer)
+        take = take | (s_hit & t_hit & later)
+    elif when is None:
         take = s_hit
+    else:
+        raise ValueError(f"unknown merge condition: {when!r}")
     joined = t.withColumn("__hit", F.lit(True)).alias("t").join(
         s.withColumn("__hit", F.lit(True)).alias("s"), on, "full_outer"
     )

@@ -253,12 +253,15 @@ def folder_key(file_path: Column, prefix: str) -> Column:
 
 
 def read_manual_file(spark: SparkSession, path: str) -> DataFrame:
-    """Hand-made CSV as text columns with safe headers; a byte-order mark is dropped."""
-    raw = spark.read.options(**_CSV, inferSchema="false", encoding="UTF-8").csv(path)
-    names = [c.removeprefix("﻿").strip('"') for c in raw.columns]
-    # Blank headers come back as _c<position>.
-    names = ["" if n == f"_c{i}" else n for i, n in enumerate(names)]
-    return raw.toDF(*clean_headers(names))
+    """Hand-made CSV as text columns with safe headers; a byte-order mark is dropped.
+
+    The header record is read first, as it is, because a header reader renames repeats.
+    """
+    reader = spark.read.options(**{**_CSV, "header": "false"}, inferSchema="false", encoding="UTF-8")
+    header = reader.csv(path).first()
+    names = clean_headers([None if h is None else h.removeprefix("\ufeff") for h in header])
+    schema = ", ".join(f"`{n}` string" for n in names)
+    return spark.read.options(**_CSV, encoding="UTF-8").schema(schema).csv(path)
 
 
 def read_columns(
