@@ -3,6 +3,9 @@
 One SQL text per table, written in the common subset of Spark SQL and ANSI SQL, so the
 Spark queries and the check SQL read the same input.  Only the input derivation is
 shared; every query on top of it is written twice, independently.
+
+Whole tables go in: a second ``union all`` branch with a modulo adds stale or duplicate
+rows for the dedupe steps to remove, and ``case`` branches spread defects over the rows.
 """
 
 from __future__ import annotations

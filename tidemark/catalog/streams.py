@@ -176,25 +176,19 @@ def _stream_alerts(wh) -> tuple:
     """
     messages = wh["messages"]
     spark, path = messages.sparkSession, fresh_path(messages.sparkSession, "stream")
-    messages.select("value").filter(F.col("event_id") % 23 != 0).write.text(f"{path}/in")
+    messages.select("value").write.text(f"{path}/in")
     closing = '{"op":"c","ts_ms":4102444800000,"after":{"id":0}}'
     first = spark.readStream.text(f"{path}/in")
     late = spark.range(1).select(F.lit(closing).alias("value"))
     late.write.mode("append").text(f"{path}/in")
-    _run_once(detect(first, THRESHOLD, LENGTH, lateness="40 days"), f"{path}/alerts", "text")
+    found = detect(first, THRESHOLD, LENGTH, lateness="40 days", now=_now())
+    _run_once(found, f"{path}/alerts", "text")
     return spark, path
 
 
-cte(
-    "timed_alerts",
-    f"""select date_trunc('hour', event_time) as window_start, count(*) as total_events
-        from created where event_id % 23 <> 0 group by 1 having count(*) >= {THRESHOLD}""",
-)
-
-
 @query(
     "n07_stream_alerts_late_data",
-    "select window_start::varchar as window_start, total_events from timed_alerts",
+    "select window_start::varchar as window_start, total_events from hour_alerts",
 )
 def _(wh):
     spark, path = _stream_alerts(wh)
@@ -203,7 +197,7 @@ def _(wh):
     return read_alerts(spark.read.text(f"{path}/alerts")).select("window_start", "total_events")
 
 
-cte("first_sent", "select min(window_start) as t from timed_alerts")
+cte("first_sent", "select min(window_start) as t from hour_alerts")
 
 
 @query(
@@ -211,13 +205,13 @@ cte("first_sent", "select min(window_start) as t from timed_alerts")
     f"""
     with recursive chain as (
       select t from first_sent union
-      select (select min(a.window_start) from timed_alerts a where a.window_start >= c.t + interval 4 hour)
+      select (select min(a.window_start) from hour_alerts a where a.window_start >= c.t + interval 4 hour)
       from chain c where t is not null)
     select sha1('booking_spike|{TABLE}') as alert_id, 'booking_spike|{TABLE}' as alert_key,
            'booking_spike' as alert_type, '{TABLE}' as source_table,
            (window_start + interval 1 hour)::varchar as event_time,
            window_start in (select t from chain where t is not null) as emitted
-    from timed_alerts""",
+    from hour_alerts""",
 )
 def _(wh):
     spark, path = _stream_alerts(wh)

@@ -6,7 +6,7 @@ checkpoint.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.sources.messages import alert_json
@@ -25,9 +25,10 @@ def detect(
     length: str = "1 minute",
     lateness: str = "0 seconds",
     source_table: str = al.SOURCE_TABLE,
+    now: Column | None = None,
 ) -> DataFrame:
-    """Alert JSON from a message stream."""
-    events = al.parse_messages(messages, source_table)
+    """Alert JSON from a message stream; ``now`` stands in for a missing message time."""
+    events = al.parse_messages(messages, source_table, now)
     counts = al.count_windows(events, length, lateness=lateness)
     return alert_json(al.spike_alerts(counts, threshold, source_table))
 
