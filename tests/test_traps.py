@@ -424,3 +424,38 @@ def test_person_ids(spark):
     for r in got:
         assert r.got == r.want
     assert one(df.select(unaccent(F.lit("Đường ễ Å é")))) == "Duong e A e"
+
+
+# --- monitors ------------------------------------------------------------------------------
+
+
+def test_monitor_placeholders(spark):
+    from tidemark.plans import monitor as mon
+
+    r = mon.stage_run_quality({"users": spark.range(1)}, "2024-01-01", spark=spark).first()
+    assert (r.stage_table, r.rows_total) == ("NO_STAGE_TABLES_FOUND", 0)
+    assert mon.silver_freshness({"users": spark.range(1)}, F.lit("2024-01-01")) is None
+
+
+def test_metric_series_labels_and_keep_last(spark):
+    from tidemark.plans import monitor as mon
+
+    df = frame(spark, "day int, k string, blank string, v double, at int",
+               (1, "a", " ", 9.0, 9), (2, "a", " ", 1.0, 1), (2, "a", " ", 2.0, 2), (2, "x" * 150, "", None, 1))
+    got = rows(mon.metric_series(df, [mon.Metric("m", ["gone", "v"])], {"k": "k", "b": "blank", "n": "no"},
+                                 ["hour", "day"], ["at"]))
+    assert got == [("m", '{"k":"a","n":"unknown"}', 2.0), ("m", '{"k":"' + "x" * 100 + '","n":"unknown"}', 0.0)]
+
+
+def test_breaches_sustained_and_against_another_metric(spark):
+    from tidemark.plans import monitor as mon
+
+    def at(minute):
+        return dt.datetime(2024, 1, 1, 0, minute)
+
+    limits = [mon.Limit("r", ">", 0.5, minutes=15), mon.Limit("a", ">", None, "critical", other="b")]
+    series = frame(spark, "metric string, labels string, ts timestamp, value double",
+                   ("r", "l", at(0), 0.1), ("r", "l", at(10), 0.9), ("r", "l", at(20), 0.9),
+                   ("r", "l", at(30), 0.9), ("a", "l", at(0), 5.0), ("b", "l", at(0), 4.0), ("a", "q", at(0), 5.0))
+    got = rows(mon.breaches(series, limits).select("metric", "labels", F.minute("ts"), "bound"))
+    assert got == [("a", "l", 0, 4.0), ("r", "l", 20, 0.5), ("r", "l", 30, 0.5)]

@@ -295,6 +295,8 @@ SCHEDULER_METRICS = [
 SLO_METRICS = [
     mon.Metric("ops/dag/critical_p95_minutes", ["critical_p95_minutes"]),
     mon.Metric("ops/dag/restore_buffer_minutes", ["restore_buffer_minutes"]),
+    mon.Metric("ops/dag/recovery_time_minutes", ["recovery_time_minutes"]),
+    mon.Metric("ops/dag/restore_window_minutes", ["restore_window_minutes"]),
 ]
 
 
@@ -367,6 +369,8 @@ cte(
                 {
                     "ops/dag/critical_p95_minutes": "critical_p95_minutes",
                     "ops/dag/restore_buffer_minutes": "restore_buffer_minutes",
+                    "ops/dag/recovery_time_minutes": "recovery_time_minutes",
+                    "ops/dag/restore_window_minutes": "restore_window_minutes",
                 },
             ),
         ]
@@ -387,7 +391,11 @@ def _(wh):
          ('ops/scheduler/success_ratio', '<', 0.95, 'warning', 30),
          ('ops/dag/restore_buffer_minutes', '<', 0, 'critical', 0)) l(metric, op, bound, severity, minutes)
          using (metric)
-       where (op = '>' and value > bound) or (op = '<' and value < bound)""",
+       where (op = '>' and value > bound) or (op = '<' and value < bound)
+       union all
+       select 'ops/dag/recovery_time_minutes', '{"dag_id":"' || dag_id || '"}', recovery_time_minutes::double,
+              '>', restore_window_minutes::double, 'critical', 0
+       from slo_rows where recovery_time_minutes > restore_window_minutes""",
 )
 def _(wh):
     return mon.breaches(_series(wh))

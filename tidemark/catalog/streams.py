@@ -157,8 +157,24 @@ def _(wh):
 
 
 def _run_once(df, path: str, fmt: str) -> None:
-    """Process everything available now, then stop."""
-    started = (
+    """Process everything available now, then stop.
+
+    The number of state partitions is fixed when a stateful query first starts; a few per
+    core are plenty for windowed counts.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    few = min(int(before), 2 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(few))
+    try:
+        started = _start(df, path, fmt)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    started.awaitTermination()
+
+
+def _start(df, path: str, fmt: str):
+    return (
         df.writeStream.format(fmt)
         .outputMode("append")
         .option("path", path)
@@ -166,7 +182,6 @@ def _run_once(df, path: str, fmt: str) -> None:
         .trigger(availableNow=True)
         .start()
     )
-    started.awaitTermination()
 
 
 def _stream_alerts(wh) -> tuple:

@@ -453,13 +453,17 @@ def metric_series(
 
 @dataclass(frozen=True)
 class Limit:
-    """Breach when ``value op bound`` held for ``minutes``; ``column`` compares with another one."""
+    """Breach when ``value op bound`` held for ``minutes``.
+
+    With ``other`` the bound is the value of that metric under the same labels.
+    """
 
     metric: str
     op: str
-    bound: float
+    bound: float | None
     severity: str = "warning"
     minutes: int = 0
+    other: str | None = None
 
 
 # Alert thresholds; fixed values.
@@ -469,6 +473,7 @@ LIMITS = (
     Limit("ops/scheduler/success_ratio", "<", 0.95, minutes=30),
     Limit("ops/stream/error_events", ">", 0, minutes=15),
     Limit("ops/dag/restore_buffer_minutes", "<", 0, "critical"),
+    Limit("ops/dag/recovery_time_minutes", ">", None, "critical", other="ops/dag/restore_window_minutes"),
     Limit("ops/silver/freshness_lag_minutes", ">", 120),
 )
 
@@ -480,11 +485,18 @@ def breaches(series: DataFrame, limits: Sequence[Limit] = LIMITS) -> DataFrame:
     it, checked by a range window per series.
     """
     table = series.sparkSession.createDataFrame(
-        [(x.metric, x.op, float(x.bound), x.severity, x.minutes) for x in limits],
-        "metric string, op string, bound double, severity string, minutes int",
+        [(x.metric, x.op, None if x.bound is None else float(x.bound), x.severity, x.minutes, x.other) for x in limits],
+        "metric string, op string, __bound double, severity string, minutes int, __other string",
     )
+    same = ["labels"] + (["ts"] if "ts" in series.columns else [])
+    others = series.select(*same, F.col("metric").alias("__other"), F.col("value").alias("__value"))
     # A fixed list of a few limits.
-    joined = series.join(F.broadcast(table), "metric")
+    joined = (
+        series.join(F.broadcast(table), "metric")
+        .join(others.filter(F.col("__other").isin([x.other for x in limits if x.other])), [*same, "__other"], "left")
+        .withColumn("bound", F.coalesce("__bound", "__value"))
+        .select(*series.columns, "op", "bound", "severity", "minutes")
+    )
     over = F.when(F.col("op") == ">", F.col("value") > F.col("bound")).otherwise(
         F.col("value") < F.col("bound")
     )
