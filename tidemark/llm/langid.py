@@ -62,7 +62,7 @@ def train(
     # A row is learned from if its hash, as a share of all hashes, is below bound / rows.
     share = (F.pmod(F.xxhash64("key"), F.lit(1 << 40)) / F.lit(float(1 << 40))).alias("share")
     sample = (
-        rows.join(sizes, "lang")
+        rows.join(F.broadcast(sizes), "lang")  # a row for each language, checked above
         .filter(share * F.col("count") < per_language)
         .select("lang", "text")
     )

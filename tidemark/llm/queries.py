@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact_dedup, langid, mixing, quality, simhash, warc
+from tidemark.llm import ann, chat, exact_dedup, langid, mixing, packing, quality, simhash, warc
 from tidemark.llm.scratch import small_batches
 from tidemark.session import tune
 
@@ -90,11 +90,21 @@ def op3(read):
     return warc.read_back(warc.read_archive(pages.sparkSession, archive))
 
 
+@query("op5_packing")
+def op5(read):
+    return packing.pack(read("documents"))
+
+
 @query("op6_simhash")
 def op6(read):
     return simhash.near_groups(read("documents"))
 
 
+@query("op7_ann")
+def op7(read):
+    return ann.nearest(read("embeddings"))
+
+
 #: The conversation that the contract adds: control strings of another template as texts.
 _ADDED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
