@@ -112,15 +112,20 @@ def train(
 
 
 def predict(
-    docs: DataFrame, model: LanguageModel, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)
+    docs: DataFrame,
+    model: LanguageModel,
+    text_col: str = "text",
+    carry: tuple[str, ...] = ("doc_id",),
+    pred_col: str = "lang_pred",
+    score_col: str = "score",
 ) -> DataFrame:
-    """Columns ``carry``, ``lang_pred`` and ``score`` for every row.
+    """Columns ``carry``, ``pred_col`` and ``score_col`` for every row.
 
     Null texts and texts without a letter are ``und`` with score 0.  Of languages with equal
     posterior the first by code point wins.  The model is sent to the executors once
     (``spark.sparkContext.broadcast``); its size is bounded by ``train``.
     """
-    carried = [F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]
+    carried = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]
     rows = docs.select(*carried, F.col(text_col).alias("text"))
     kept = [f for f in rows.schema.fields if f.name != "text"]
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -146,7 +151,19 @@ def predict(
     out = rows.select(*[f.name for f in kept], "text").mapInArrow(
         score, ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in kept], "lang_pred string, score double"])
     )
-    return out.select(*[F.col(f.name).alias(c) for f, c in zip(kept, carry)], "lang_pred", "score")
+    return out.select(
+        *[F.col(f.name).alias(c) for f, c in zip(kept, carry)],
+        F.col("lang_pred").alias(pred_col), F.col("score").alias(score_col),
+    )
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text has no language: null texts, and texts without a letter."""
+    pred, score = "_lang_pred", "_lang_score"
+    while pred in docs.columns or score in docs.columns:
+        pred, score = f"_{pred}", f"_{score}"
+    told = predict(docs, model, text_col, tuple(docs.columns), pred, score)
+    return told.filter(F.col(pred) != "und").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _log_sums(m: LanguageModel, texts: list[str], step: int) -> np.ndarray:

@@ -111,3 +111,18 @@ def mix(
         F.col("key").alias(key_col), "size", "source_size", "target", copies.alias("copies"),
         (copies * F.col("size")).alias("taken"),
     )
+
+
+def take(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``docs`` with each row as often as the mix takes it, none to twice.
+
+    Rows that share an id are taken alike, as often as the first of them by the mix.
+    """
+    mixed = mix(docs, key_col, text_col, source_col)
+    taken = stored(
+        mixed.groupBy(F.col(key_col).alias("_taken_key")).agg(F.max("copies").alias("_copies")).filter("_copies > 0"),
+        "mix-taken",
+    )
+    joined = docs.join(taken, F.col(key_col).eqNullSafe(F.col("_taken_key")))
+    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return repeated.select(*[docs[c] for c in docs.columns])

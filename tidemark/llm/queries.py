@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, chat, exact_dedup, langid, mixing, packing, quality, simhash, warc
+import corpus_pipeline
+from tidemark.llm import ann, chat, exact_dedup, langid, mixing, packing, pii, quality, simhash, warc
 from tidemark.llm.scratch import small_batches
 from tidemark.session import tune
 
@@ -90,6 +91,12 @@ def op3(read):
     return warc.read_back(warc.read_archive(pages.sparkSession, archive))
 
 
+@query("op4_pii")
+def op4(read):
+    docs = read("documents")
+    return pii.find(docs, pii.train(docs))
+
+
 @query("op5_packing")
 def op5(read):
     return packing.pack(read("documents"))
@@ -199,3 +206,6 @@ def op9(read):
 )
 def op10(read):
     return mixing.mix(read("documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
