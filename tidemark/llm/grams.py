@@ -97,8 +97,8 @@ def char_cells(texts: list[str], orders: tuple[int, ...], bits: int) -> tuple[np
     """Hash cells of all character n-grams of ``orders``, and where each text starts.
 
     Returns an array (positions, orders) of cells below ``2**bits``.  Every text, empty ones
-    too, is followed by as many zero characters as the longest order, so no n-gram joins two
-    texts and every text has at least one position.
+    too, is followed by as many zero characters as the longest order; what starts at a zero
+    character is cell 0, so no n-gram joins two texts and every text has at least one position.
     """
     pad = "\0" * max(orders)
     codes = np.frombuffer((pad.join(texts) + pad).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -112,4 +112,5 @@ def char_cells(texts: list[str], orders: tuple[int, ...], bits: int) -> tuple[np
             running = running * _SEEDS[2] + room[made : made + n] + np.uint64(1)
             made += 1
         out[:, place] = ((running * _SEEDS[0] + np.uint64(order)) * _SEEDS[1]) >> np.uint64(64 - bits)
+    out[codes == 0] = 0
     return out, starts

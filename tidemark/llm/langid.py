@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.grams import batches, char_cells
+from tidemark.llm.scratch import free_name
 
 _LETTER = regex.compile(r"\p{L}")
 #: Cells of the count table that travel in one row.
@@ -159,9 +160,7 @@ def predict(
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text has no language: null texts, and texts without a letter."""
-    pred, score = "_lang_pred", "_lang_score"
-    while pred in docs.columns or score in docs.columns:
-        pred, score = f"_{pred}", f"_{score}"
+    pred, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
     told = predict(docs, model, text_col, tuple(docs.columns), pred, score)
     return told.filter(F.col(pred) != "und").select(*[F.col(f"`{c}`") for c in docs.columns])
 

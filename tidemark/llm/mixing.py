@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.scratch import running_totals, stored
+from tidemark.llm.scratch import free_name, running_totals, stored
 
 _WORD = r"[^\x20\x09-\x0D]+"
 #: Fixed-point steps of one copy: running sums are exact, in whatever order they are added.
@@ -119,10 +119,10 @@ def take(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", sourc
     Rows that share an id are taken alike, as often as the first of them by the mix.
     """
     mixed = mix(docs, key_col, text_col, source_col)
+    of, times = free_name(docs, "taken_key"), free_name(docs, "taken_times")
     taken = stored(
-        mixed.groupBy(F.col(key_col).alias("_taken_key")).agg(F.max("copies").alias("_copies")).filter("_copies > 0"),
-        "mix-taken",
+        mixed.groupBy(F.col(key_col).alias(of)).agg(F.max("copies").alias(times)).filter(F.col(times) > 0), "mix-taken"
     )
-    joined = docs.join(taken, F.col(key_col).eqNullSafe(F.col("_taken_key")))
-    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return repeated.select(*[docs[c] for c in docs.columns])
+    joined = docs.join(taken, F.col(key_col).eqNullSafe(F.col(of)))
+    repeated = joined.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
+    return repeated.drop(of, times)

@@ -29,6 +29,20 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id, null too, is in the one column of ``gone``."""
+    name = free_name(docs, "gone")
+    return docs.join(gone.toDF(name), F.col(id_col).eqNullSafe(F.col(name)), "left_anti")
+
+
 def running_totals(
     df: DataFrame, groups: list[str], blocks: list[str], order: list, values: dict[str, str]
 ) -> DataFrame:

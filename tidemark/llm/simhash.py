@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.scratch import stored
+from tidemark.llm.scratch import stored, without
 
 STEPS = 32
 #: Reference fingerprints: the ladder, and as many drawn at random (fixed seed).
@@ -281,5 +281,4 @@ def near_groups(
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, the one that names it."""
     groups = stored(near_groups(docs, id_col, text_col), "simhash-decisions")
-    gone = groups.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    return without(docs, id_col, groups.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col))
