@@ -1,10 +1,12 @@
 """End-to-end flows, files and plan shapes."""
 
+import datetime as dt
+
 import pytest
 from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+import tidemark.catalog as catalog
 from tidemark.catalog.events import change_events
 from tidemark.catalog.registry import warehouse
 from tidemark.catalog.rules import RAW_CONTRACT, RULES
@@ -94,11 +96,13 @@ def test_versions_switch_only_when_complete(spark, tmp_path):
 
 
 def test_prefixes_and_folder_keys(spark):
-    assert files.resolve_cdc_prefixes("s3://b", "public.t", date="2026-01-02") == ["s3://b/cdc/public_t/2026/01/02/*/*"]
-    assert files.resolve_cdc_prefixes("b", "t", month="2026-01") == ["b/cdc/t/2026/01/*/*/*"]
-    assert files.resolve_cdc_prefixes("b", "t", latest=True) == ["b/cdc/t/*/*/*/*/*"]
+    day = dt.date
+    assert files.change_folders("s3://b/", "public.t", day(2026, 1, 2)) == ["s3://b/cdc/public_t/2026/01/02/*/*"]
+    got = files.change_folders("b", "t", day(2026, 1, 31), day(2026, 3, 1))
+    assert got == [f"b/cdc/t/2026/{part}/*/*" for part in ("01/31", "02/*", "03/01")]
+    assert files.change_folders("b", "t") == ["b/cdc/t/*/*/*/*/*"]
     with pytest.raises(ValueError):
-        files.resolve_cdc_prefixes("b", "t")
+        files.change_folders("b", "t", day(2026, 1, 2), day(2026, 1, 1))
     paths = ["x/manual_file/Patients A/f.csv", "x/manual_file/f.csv", "other/f.csv", "manual_file//f.csv"]
     df = spark.createDataFrame([(p,) for p in paths], "p string")
     got = [r[0] for r in df.select(files.folder_key(F.col("p"), "manual_file/")).collect()]
@@ -112,6 +116,13 @@ def test_manual_file_with_byte_order_mark(spark, tmp_path):
     assert rows(df) == [("1", "a\nb", "x")]
 
 
+def test_manual_files_keep_their_own_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("name,phone\nA,1\n")
+    (tmp_path / "b.csv").write_text("phone,name,more\n2,B,x\n")
+    df = files.read_manual_file(spark, str(tmp_path))
+    assert rows(df.select("name", "phone", "more")) == [("A", "1", None), ("B", "2", "x")]
+
+
 def test_snapshot_csv_round_trip(spark, tmp_path):
     data = [(1, None, 'a "q" b'), (2, "", " lead, trail "), (3, "x\ny", "z")]
     df = spark.createDataFrame(data, "id long, a string, b string")
@@ -128,7 +139,7 @@ _ONE_ROW_JOIN = {"d05_watermark_upsert", "m14_sustained_breaches"}
 
 
 def test_plans_have_no_cross_products_and_no_single_partition_windows(spark):
-    for name, q in entry.queries().items():
+    for name, q in catalog.QUERIES.items():
         if name.startswith(_SKIP):
             continue
         plan = q(spark, SMALL)._jdf.queryExecution().executedPlan().toString()

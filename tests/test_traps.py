@@ -94,7 +94,7 @@ def k_decimal(text):
 
 def test_surrogate_key(spark):
     df = frame(spark, "a long, b long", (1, None))
-    assert one(df.select(k.surrogate_key("a"))) == 886263699231969848
+    assert one(df.select(k.surrogate_key("a"))) == 4956847150856741762
     assert one(df.select(k.surrogate_key("a", "b"))) is None
 
 
@@ -276,6 +276,21 @@ def test_duplicate_source_key_fails(spark):
         inc.incremental_merge(t, s, ["id"]).collect()
 
 
+def test_duplicate_source_key_fails_whatever_is_read(spark):
+    t = frame(spark, "id long, v string", (1, "a"))
+    s = frame(spark, "id long, v string", (2, "a"), (2, "b"))
+    keys_only = t.select("id"), s.select("id")
+    for got in (
+        mg.merge_upsert(t, s, ["id"], when=None).select("id"),
+        inc.incremental_merge(t, s, ["id"]).select("id"),
+        mg.merge_upsert(*keys_only, ["id"], when=None),
+        inc.incremental_merge(*keys_only, ["id"]),
+    ):
+        for act in (lambda df: df.collect(), lambda df: df.count()):
+            with pytest.raises(PySparkException, match="duplicate merge key"):
+                act(got)
+
+
 def test_watermark_is_monotone_and_null_class_counts_twice(spark):
     schema = "__lsn_num decimal(38,0), __lsn_num_inferred boolean, __commit_ts timestamp"
     at = dt.datetime(2024, 1, 1)
@@ -409,6 +424,7 @@ _SEEN: dict = {}
 def test_headers():
     got = clean_headers(["Tên Thuốc", "", "2nd", "ten thuoc", None, "Đ-x", "a" * 400])
     assert got == ["ten_thuoc", "col", "_2nd", "ten_thuoc_2", "col_2", "d_x", "a" * 300]
+    assert clean_headers(["a", "a", "a_2", "A"]) == ["a", "a_2", "a_2_2", "a_3"]
 
 
 def test_person_ids(spark):

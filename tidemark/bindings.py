@@ -23,7 +23,7 @@ BASE_TABLES = (
 ).split()
 
 _CLINIC = "o_custkey % (select count(*) from supplier)"
-# Four-part line key folded into one number; HASH60 is the surrogate key of a text.
+# Four-part line key folded into one number; HASH60 is a 60-bit hash of a text.
 _LOT = (
     "HASH60(cast(l_orderkey as string) || '-' || cast(l_linenumber as string) || '-' || "
     "cast(l_partkey as string) || '-' || cast(l_suppkey as string))"
@@ -159,7 +159,9 @@ DOMAIN_SQL: dict[str, str] = {
                case p_size % 5 when 0 then 'Công ty Cổ phần Dược phẩm ' || p_brand || ' - Việt Nam'
                     when 1 then 'Công ty TNHH ' || p_name || ' (Vietnam)'
                     when 2 then p_name || ' ' || p_name || ' Co., Ltd'
-                    when 3 then p_type || ' Pharma GmbH, 12345 Main street 7' else p_brand end
+                    when 3 then p_type || ' Pharma GmbH, 12345 Main street 7'
+                    else case p_partkey % 3 when 0 then 'Фарма Стандарт ' || p_brand
+                              when 1 then '日本製薬' else p_brand end end
                  as manufacturer,
                case when p_size % 3 = 0 then null else cast(p_size as string) end as vat,
                case p_partkey % 9 when 0 then 'Paracetamol 500mg; Vitamin C 50 mg'
@@ -167,7 +169,8 @@ DOMAIN_SQL: dict[str, str] = {
                     when 2 then 'Cao khô lá thường xuân' when 3 then '500 mg'
                     when 4 then 'Amoxicillin trihydrate + Acid clavulanic'
                     when 5 then 'Nicotinamid (vitamin PP)' when 6 then 'Tocopherol acetat'
-                    when 7 then p_name else null end as active_element,
+                    when 7 then p_name
+                    else case when p_size % 2 = 0 then 'Aspirine one; Aspirine two 100 mg' end end as active_element,
                case p_partkey % 9 when 3 then 'Ibuprofen' when 4 then '875mg + 125mg'
                     else cast(p_size as string) || ' mg' end as concentration
         from part

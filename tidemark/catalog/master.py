@@ -129,7 +129,7 @@ def _strings(values) -> str:
 
 
 def _company_sql(x: str) -> str:
-    out = _squeeze(f"regexp_replace({_plain(f'coalesce({x}, chr(32))')}, '[^\\w\\s]', ' ', 'g')")
+    out = _squeeze(f"regexp_replace({_plain(f'coalesce({x}, chr(32))')}, '[^\\p{{L}}\\p{{M}}\\p{{N}}_\\s]', ' ', 'g')")
     for phrase in drugs.COMPANY_PHRASES:
         out = f"regexp_replace({out}, '\\b{phrase}\\b', ' ', 'g')"
     return _squeeze(out)
@@ -223,7 +223,7 @@ cte(
     "med_names",
     f"""select rid, g, i, seg, s, case when regexp_matches(s, '{drugs.TOCOPHEROL}') then 'tocopheryl acetate'
                {_FAMILY} else {_squeeze(_same_as(_KEPT))} end as name
-        from (select *, {_squeeze("regexp_replace(s, '[^\\w\\s\\-]', ' ', 'g')")} as t
+        from (select *, {_squeeze("regexp_replace(s, '[^\\p{L}\\p{M}\\p{N}_\\s\\-]', ' ', 'g')")} as t
               from (select *, {_no_noise(_no_dose('a'))} as s
                     from (select *, {_no_noise(_no_dose('seg'))} as a from med_segments)))""",
 )
@@ -394,8 +394,10 @@ def _(wh):
 @query(
     "k15_master_drug_code_extra",
     f"""select d.* exclude (rid), {_MASTER}, coalesce(p.pairs, '') as pairs from drug_table d left join
-        (select rid, string_agg(name || '::' || dose, ' | ' order by k) as pairs from med_pairs
-         group by rid) p on p.rid = d.rid""",
+        (select rid, string_agg(name || '::' || dose, ' | ' order by k) as pairs
+         from (select rid, code, min(k) as k, arg_min(name, k + 10 * (dose = '')::int) as name,
+                      arg_min(dose, k + 10 * (dose = '')::int) as dose
+               from med_pairs where code <> '' group by rid, code) group by rid) p on p.rid = d.rid""",
 )
 def _(wh):
     return drug_codes(wh["medicines"], extra=True)

@@ -7,7 +7,7 @@ from tidemark.catalog.registry import cte, model_query, money, query
 
 def key(*parts: str) -> str:
     text = " || '|' || ".join(f"cast({p} as varchar)" for p in parts)
-    return f"('0x' || substr(md5({text}), 1, 15))::bigint"
+    return f"(('0x' || substr(md5({text}), 1, 16))::ubigint & 9223372036854775807)::bigint"
 
 
 def day_key(ts: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 from pyspark.sql import functions as F
@@ -77,8 +78,11 @@ def _(wh):
 def _(wh):
     rows = stage(wh)
     spark, path = rows.sparkSession, fresh_path(rows.sparkSession, "a05")
-    files.stage_upsert(spark, rows, path)
-    return spark.read.parquet(path).filter("__source_date_local = '2024-01-30'").select("__uuid", "id")
+    for run, day in (("r1", 29), ("r2", 30)):
+        own = rows.filter(F.col("__run_id") == run)
+        own.write.parquet(f"{path}/cdc/public_orders/2024/01/{day}/00/00")
+    wanted = files.change_folders(path, "public.orders", datetime.date(2024, 1, 30))
+    return files.read_cdc(spark, wanted, fmt="parquet").select("__uuid", "id")
 
 
 @query("a06_read_cdc", "select id, kind, uuid as __uuid, op as __op, deleted as __is_deleted from flat_changes")
@@ -195,7 +199,10 @@ def _odd_headers(wh):
 def _(wh):
     df = _odd_headers(wh).drop("c_acctbal").toDF(*_ODD[:3], "--")
     spark, path = df.sparkSession, fresh_path(df.sparkSession, "a14")
-    df.write.option("header", "true").csv(f"{path}/manual_file/Patients/")
+    odd = F.col("c_custkey") % 2 == 1
+    other = df.select(*reversed(df.columns))
+    for part in (df.filter(odd), other.filter(~odd)):  # files of one folder with different column orders
+        part.write.mode("append").option("header", "true").csv(f"{path}/manual_file/Patients/")
     rows = files.read_manual_file(spark, f"{path}/manual_file/Patients/")
     return rows.withColumn(
         "file_key", files.folder_key(F.input_file_name(), "manual_file/")

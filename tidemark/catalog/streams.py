@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import cte, query
-from tidemark.session import fresh_path
+from tidemark.session import fresh_path, tune
 from tidemark.sources.messages import alert_json
 from tidemark.streaming import alerts as al
 from tidemark.streaming.cooldown import cooldown_batch
@@ -156,49 +156,53 @@ def _(wh):
     return al.cancel_ratio_alerts(events, F.col("event_type") == "error", 0.3, LENGTH)
 
 
-def _run_once(df, path: str, fmt: str) -> None:
-    """Process everything available now, then stop.
+#: State partitions of the two checks: fixed for the life of a checkpoint, so a parameter.
+STATE_PARTITIONS = 8
 
-    The number of state partitions is fixed when a stateful query first starts; a few per
-    core are plenty for windowed counts.
-    """
-    spark = df.sparkSession
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    few = min(int(before), 2 * spark.sparkContext.defaultParallelism)
-    spark.conf.set("spark.sql.shuffle.partitions", str(few))
-    try:
-        started = _start(df, path, fmt)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-    started.awaitTermination()
-
-
-def _start(df, path: str, fmt: str):
-    return (
+
+def _run_once(df, path: str, fmt: str) -> None:
+    """Process everything available now, then stop."""
+    (
         df.writeStream.format(fmt)
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", f"{path}-checkpoint")
         .trigger(availableNow=True)
         .start()
+        .awaitTermination()
     )
 
 
+def _stream_session(spark):
+    """A session of its own for streams, so that their settings touch no other query."""
+    own = tune(spark.newSession())
+    own.conf.set("spark.sql.shuffle.partitions", str(STATE_PARTITIONS))
+    return own
+
+
 def _stream_alerts(wh) -> tuple:
-    """Messages as a file stream through the detector into an alert folder.
+    """Messages as a file stream, a few files a trigger, through the detector into an alert folder.
 
-    A closing message far in the future moves the watermark past the last real window.
+    The files of a replay come in no order of time, so the allowed lateness is the span of the
+    messages.  A closing message far in the future, sent in a run of its own on the same
+    checkpoint once all messages are in, moves the watermark past the last real window.
     """
     messages = wh["messages"]
     spark, path = messages.sparkSession, fresh_path(messages.sparkSession, "stream")
-    messages.select("value").write.text(f"{path}/in")
+    times = wh["events"].agg(F.min("ts").cast("timestamp").alias("a"), F.max("ts").cast("timestamp").alias("b")).first()
+    span = f"{int((times.b - times.a).total_seconds()) + 3600} seconds" if times.a else "0 seconds"
+    messages.select("value").repartition(4).write.text(f"{path}/in")
+    stream = _stream_session(spark)
+
+    def run() -> None:
+        arriving = stream.readStream.option("maxFilesPerTrigger", 2).text(f"{path}/in")
+        _run_once(detect(arriving, THRESHOLD, LENGTH, lateness=span, now=_now()), f"{path}/alerts", "text")
+
+    run()
     closing = '{"op":"c","ts_ms":4102444800000,"after":{"id":0}}'
-    first = spark.readStream.text(f"{path}/in")
-    late = spark.range(1).select(F.lit(closing).alias("value"))
-    late.write.mode("append").text(f"{path}/in")
-    found = detect(first, THRESHOLD, LENGTH, lateness="40 days", now=_now())
-    _run_once(found, f"{path}/alerts", "text")
-    return spark, path
+    spark.range(1).select(F.lit(closing).alias("value")).write.mode("append").text(f"{path}/in")
+    run()
+    return spark, path, span
 
 
 @query(
@@ -206,7 +210,7 @@ def _stream_alerts(wh) -> tuple:
     "select window_start::varchar as window_start, total_events from hour_alerts",
 )
 def _(wh):
-    spark, path = _stream_alerts(wh)
+    spark, path, _ = _stream_alerts(wh)
     from tidemark.streaming.job import read_alerts
 
     return read_alerts(spark.read.text(f"{path}/alerts")).select("window_start", "total_events")
@@ -229,9 +233,9 @@ cte("first_sent", "select min(window_start) as t from hour_alerts")
     from hour_alerts""",
 )
 def _(wh):
-    spark, path = _stream_alerts(wh)
-    raw = spark.readStream.text(f"{path}/alerts")
-    _run_once(dispatch(raw, seconds=4 * 3600, lateness="40 days"), f"{path}/history", "parquet")
+    spark, path, span = _stream_alerts(wh)
+    raw = _stream_session(spark).readStream.text(f"{path}/alerts")
+    _run_once(dispatch(raw, seconds=4 * 3600, lateness=span), f"{path}/history", "parquet")
     return spark.read.parquet(f"{path}/history").select(
         "alert_id", "alert_key", "alert_type", "source_table", "event_time", "emitted"
     )
@@ -243,9 +247,9 @@ def _(wh):
               || total_events || '}' as value from hour_alerts""",
 )
 def _(wh):
-    alerts = _alerts(wh)
-    body = alert_json(alerts.select("severity", "total_events"))
-    assert body.columns == ["value"]
-    return alerts.select(
-        "event_time", F.to_json(F.struct("severity", "total_events")).alias("value")
+    # The time is taken back out of the message that the sink gets.
+    sent = alert_json(_alerts(wh).select("event_time", "severity", "total_events"))
+    return sent.select(
+        F.get_json_object("value", "$.event_time").cast("timestamp").cast("string").alias("event_time"),
+        F.regexp_replace("value", '"event_time":"[^"]*",', "").alias("value"),
     )

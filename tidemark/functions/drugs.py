@@ -217,7 +217,7 @@ def family(c: Column) -> Column:
             out = out.when(t.rlike(pattern), F.lit(name))
         return out
 
-    return _let(squeeze(F.regexp_replace(_plain(c), r"[^\w\s\-]", " ")), first_match)
+    return _let(squeeze(F.regexp_replace(_plain(c), r"(?U)[^\w\s\-]", " ")), first_match)
 
 
 def _bare(c: Column) -> Column:
@@ -229,7 +229,7 @@ def canonical(c: Column) -> Column:
     """One name per substance, however it is written."""
 
     def name(s: Column) -> Column:
-        words = kept_words(F.regexp_replace(s, r"[^\w\s\-]", " "))
+        words = kept_words(F.regexp_replace(s, r"(?U)[^\w\s\-]", " "))
         for pattern, other in SAME_AS:
             words = F.regexp_replace(words, pattern, other)
         return F.when(s.rlike(TOCOPHEROL), F.lit("tocopheryl acetate")).otherwise(
@@ -317,17 +317,22 @@ def active_pairs(active: Column, concentration: Column, limit: int = 2) -> Colum
     )
 
 
-def drug_code(pairs: Column) -> Column:
-    """``CODE+CODE_DOSE+DOSE``; one entry per code, which prefers to have a dose."""
+def one_per_code(pairs: Column) -> Column:
+    """The pairs reduced to one for each code, in the order of the codes: the first that has a
+    dose, else the first.  Pairs without a code go."""
     coded = F.filter(pairs, lambda p: p["code"] != "")
-    codes = F.array_distinct(F.transform(coded, lambda p: p["code"]))
 
-    def dose_of(code: Column) -> Column:
-        doses = F.filter(coded, lambda p: (p["code"] == code) & (p["dose"] != ""))
-        return F.coalesce(F.get(doses, F.lit(0))["dose"], F.lit(""))
+    def chosen(code: Column) -> Column:
+        own = F.filter(coded, lambda p: p["code"] == code)
+        return F.coalesce(F.get(F.filter(own, lambda p: p["dose"] != ""), F.lit(0)), F.get(own, F.lit(0)))
 
-    doses = F.filter(F.transform(codes, dose_of), lambda d: d != "")
-    code_text, dose_text = F.array_join(codes, "+"), F.array_join(doses, "+")
+    return F.transform(F.array_distinct(F.transform(coded, lambda p: p["code"])), chosen)
+
+
+def drug_code(kept: Column) -> Column:
+    """``CODE+CODE_DOSE+DOSE`` of pairs that ``one_per_code`` has reduced."""
+    doses = F.filter(F.transform(kept, lambda p: p["dose"]), lambda d: d != "")
+    code_text, dose_text = F.array_join(F.transform(kept, lambda p: p["code"]), "+"), F.array_join(doses, "+")
     return F.when((code_text != "") & (dose_text != ""), F.concat_ws("_", code_text, dose_text)).otherwise(
         code_text
     )
@@ -338,12 +343,13 @@ def drug_code(pairs: Column) -> Column:
 
 def normalize_company(c: Column) -> Column:
     """Company name without legal forms, activities, trailing country, address and repeats."""
-    s = squeeze(F.regexp_replace(_plain(_text(c)), r"[^\w\s]", " "))
-    s = reduce(lambda t, p: F.regexp_replace(t, rf"\b{p}\b", " "), COMPANY_PHRASES, s)
+    # (?U): letters of every script are word characters, so no name is emptied.
+    s = squeeze(F.regexp_replace(_plain(_text(c)), r"(?U)[^\w\s]", " "))
+    s = reduce(lambda t, p: F.regexp_replace(t, rf"(?U)\b{p}\b", " "), COMPANY_PHRASES, s)
     s = reduce(lambda t, p: F.regexp_replace(t, rf"(?:\s+{p})$", ""), COUNTRIES, squeeze(s))
-    s = F.regexp_replace(s, r"\b(?:" + "|".join(ADDRESS_WORDS) + r")\b.*$", " ")
-    s = F.regexp_replace(s, r"\b\d{4,}\b", " ")
-    s = F.regexp_replace(s, r"\b[a-z]*\d+[a-z]+\b|\b[a-z]+\d+[a-z]*\b", " ")
+    s = F.regexp_replace(s, r"(?U)\b(?:" + "|".join(ADDRESS_WORDS) + r")\b.*$", " ")
+    s = F.regexp_replace(s, r"(?U)\b\d{4,}\b", " ")
+    s = F.regexp_replace(s, r"(?U)\b[a-z]*\d+[a-z]+\b|\b[a-z]+\d+[a-z]*\b", " ")
     return F.initcap(drop_repeat(squeeze(s)))
 
 

@@ -14,16 +14,17 @@ def _col(c: Column | str) -> Column:
 
 
 def surrogate_key(*parts: Column | str) -> Column:
-    """Stable non-negative 60-bit key of one value or of several joined by ``|``.
+    """Stable non-negative 63-bit key of one value or of several joined by ``|``.
 
-    Null in, null out.  Sixty bits of MD5 fit a signed 64-bit integer, so no
+    Null in, null out.  The key is the first 64 bits of MD5 without the sign bit, so no
     absolute value (with its overflow case) is needed.
     """
     texts = [_col(p).cast("string") for p in parts]
     text = texts[0]
     for nxt in texts[1:]:
         text = F.concat(text, F.lit("|"), nxt)
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    signed = F.conv(F.substring(F.md5(text), 1, 16), 16, -10).cast("long")
+    return signed.bitwiseAND(F.lit((1 << 63) - 1))
 
 
 def lsn_to_num(lsn: Column | str) -> Column:

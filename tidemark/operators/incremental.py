@@ -107,11 +107,12 @@ def merge_into_partitions(
     """Merge into a parquet mart laid out by month of ``date_col``; untouched months stay.
 
     Months to rewrite are those of the new rows and those where a replaced row sits now.
-    The merged months go through a reliable checkpoint first, because files being read
-    cannot be overwritten; the write is a dynamic partition overwrite.
+    The new rows are built once, into a reliable checkpoint, as they are read for the months,
+    the rows they replace and the result.  The merged months go through another one, because
+    files being read cannot be overwritten; the write is a dynamic partition overwrite.
     """
     target = spark.read.parquet(path)
-    new = new.withColumn("yyyymm", year_month(date_col))
+    new = reliable_checkpoint(new.withColumn("yyyymm", year_month(date_col)))
     months = new.select("yyyymm").union(
         target.join(*_replaced_by(target, new, unique_key), "left_semi").select("yyyymm")
     ).distinct()

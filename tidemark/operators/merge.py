@@ -139,7 +139,8 @@ def _fail_on_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows; running the plan raises if a key repeats.
 
     One grouped aggregate on the merge keys: partial counts before the shuffle, and the
-    join that follows reuses its partitioning.
+    join that follows reuses its partitioning.  The check is a filter on the count, so it
+    stays whatever columns are read later.
     """
     rest = [c for c in df.columns if c not in keys]
     grouped = df.groupBy(*keys).agg(
@@ -148,9 +149,8 @@ def _fail_on_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     message = F.concat(
         F.lit("duplicate merge key: "), F.to_json(F.struct(*[F.col(k) for k in keys]))
     )
-    checked = F.when(F.col("__n") == 1, F.col("__row")).otherwise(F.raise_error(message))
-    fields = [checked[c].alias(c) for c in rest]
-    return grouped.select(*keys, *fields) if rest else grouped.select(*keys)
+    single = F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return grouped.filter(single).select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
 
 
 def create_if_absent(

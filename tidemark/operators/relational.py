@@ -67,7 +67,9 @@ def exact_percentile(
 
     A sketch first brackets the answer (its rank error is far inside the bracket).  Values
     below the bracket are only counted and those above dropped, so the cumulative window
-    sees the few distinct values inside it, however many rows a group has.
+    sees the few distinct values inside it, however many rows a group has.  The counts also
+    tell whether the bracket holds the rank; a group where it does not is done again over all
+    its distinct values.
     """
     margin = 0.001
     points = F.array(F.lit(max(0.0, fraction - margin)), F.lit(min(1.0, fraction + margin)))
@@ -89,12 +91,31 @@ def exact_percentile(
         .orderBy(F.col("__v").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    return (
+    found = (
         hist.withColumn("__cum", F.sum("__n").over(upto))
-        .filter(F.col("__v").isNotNull() & (F.col("__cum") >= F.col("__total") * fraction))
+        .groupBy(*keys)
+        .agg(
+            F.min(F.when(F.col("__v").isNotNull() & (F.col("__cum") >= F.col("__total") * fraction), F.col("__v"))).alias(name),
+            # The rank lies below the bracket if the values below it reach it already.
+            F.coalesce(
+                F.max(F.col("__v").isNull() & (F.col("__cum") >= F.col("__total") * fraction)), F.lit(False)
+            ).alias("__below"),
+        )
+    )
+    missed = F.col("__below") | F.col(name).isNull()
+    again = found.filter(missed).select(*[F.col(k).alias(f"__{k}") for k in keys])
+    same = all_of([known[k].eqNullSafe(again[f"__{k}"]) for k in keys])
+    counted = known.join(again, same, "left_semi").groupBy(*keys, F.col(value).alias("__v")).agg(
+        F.count(F.lit(1)).alias("__n")
+    )
+    whole = Window.partitionBy(*keys)
+    exact = (
+        counted.select("*", F.sum("__n").over(upto).alias("__cum"), F.sum("__n").over(whole).alias("__total"))
+        .filter(F.col("__cum") >= F.col("__total") * fraction)
         .groupBy(*keys)
         .agg(F.min("__v").alias(name))
     )
+    return found.filter(~missed).drop("__below").unionByName(exact)
 
 
 def per_table(

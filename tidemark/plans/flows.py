@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import changes as cdc
@@ -134,10 +134,11 @@ def curate_flow(
         good, bad = dq.split_classified(stored, run_id, table, stamp)
         files.write_next_version(spark, good, f"{root}/curated/{table}")
         files.append_quarantine(spark, bad, f"{root}/curated_quarantine/{table}")
+        seen = Observation()
         metrics = dq.quality_metrics(stored, run_id, table, F.lit(now))
-        metrics.write.mode("append").parquet(f"{root}/dq_run_metrics")
-        row = metrics.first()
-        return {"ok": row.good_rows, "quarantine": row.bad_rows}
+        totals = [F.sum(c).alias(c) for c in ("good_rows", "bad_rows")]
+        metrics.observe(seen, *totals).write.mode("append").parquet(f"{root}/dq_run_metrics")
+        return {"ok": seen.get["good_rows"], "quarantine": seen.get["bad_rows"]}
 
     return files.history_record("curate", run_id, now[:10], _run(list(contracts), job))
 

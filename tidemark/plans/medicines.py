@@ -28,9 +28,11 @@ def drug_codes(medicines: DataFrame, extra: bool = False) -> DataFrame:
     ``extra`` adds the normalised manufacturer and the substance pairs.
     """
     text = medicines.select(*[F.col(c).cast("string").alias(c) for c in INPUT])
-    # The pairs are used three times below; a separate projection computes them once.
-    paired = repair_swapped(text).withColumn(
-        "__pairs", drugs.active_pairs(F.col("__active"), F.col("__strength"))
+    # Used several times below; separate projections compute them once.
+    paired = (
+        repair_swapped(text)
+        .withColumn("__found", drugs.active_pairs(F.col("__active"), F.col("__strength")))
+        .withColumn("__pairs", drugs.one_per_code(F.col("__found")))
     )
     coded = paired.select(
         F.col("id").alias("source_medicine_id"),

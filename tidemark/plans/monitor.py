@@ -31,7 +31,10 @@ def _hour(c: str = "ts") -> Column:
     return F.date_trunc("hour", c)
 
 
-def _within(c: str, now: Column, hours: int) -> Column:
+def _within(c: str, now: Column, hours: int | None) -> Column:
+    """Whether a time lies in the last ``hours``; None takes the whole table."""
+    if hours is None:
+        return F.lit(True)
     return F.col(c) >= now.cast("timestamp") - F.make_interval(hours=F.lit(hours))
 
 
@@ -144,7 +147,7 @@ def duplicate_keys(df: DataFrame, pk: str, now: Column) -> DataFrame:
 JOB_PATTERNS = (r"\bmerge\b", r"\bcreate table\b", r"\binsert into\b", "dbt")
 
 
-def job_health(jobs: DataFrame, now: Column, hours: int = 24) -> DataFrame:
+def job_health(jobs: DataFrame, now: Column, hours: int | None = 24) -> DataFrame:
     query = F.lower("query")
     relevant = F.col("job_type") == "LOAD"
     for pattern in JOB_PATTERNS:
@@ -165,7 +168,7 @@ def job_health(jobs: DataFrame, now: Column, hours: int = 24) -> DataFrame:
     )
 
 
-def object_ingest(logs: DataFrame, now: Column, hours: int = 24) -> DataFrame:
+def object_ingest(logs: DataFrame, now: Column, hours: int | None = 24) -> DataFrame:
     """Object-store events per hour, bucket, table and method from audit lines."""
     bucket = F.coalesce(
         regex_or_null("resource_name", r"projects/_/buckets/([^/]+)/objects/"),
@@ -201,7 +204,7 @@ def _json_text(df: DataFrame, name: str) -> Column:
     return c if isinstance(df.schema[name].dataType, StringType) else F.to_json(c)
 
 
-def stream_health(logs: DataFrame, now: Column, hours: int = 24, methods: int = 10) -> DataFrame:
+def stream_health(logs: DataFrame, now: Column, hours: int | None = 24, methods: int = 10) -> DataFrame:
     """Stream events per hour and stream with the first distinct method names seen.
 
     Rows shrink to one per (hour, stream, method) first, so the list of methods is ranked
@@ -248,7 +251,7 @@ def stream_health(logs: DataFrame, now: Column, hours: int = 24, methods: int =
 
 
 def component_health(
-    logs: Mapping[str, DataFrame], now: Column, hours: int = 24
+    logs: Mapping[str, DataFrame], now: Column, hours: int | None = 24
 ) -> DataFrame:
     """Events and error hints per hour over the log tables of several components."""
     parts = [
@@ -270,7 +273,7 @@ def component_health(
     )
 
 
-def text_error_hints(logs: DataFrame, now: Column, hours: int = 24) -> DataFrame:
+def text_error_hints(logs: DataFrame, now: Column, hours: int | None = 24) -> DataFrame:
     hint = _lower_text().rlike("failed|error|denied|permission")
     return (
         logs.filter(_within("ts", now, hours))
@@ -284,7 +287,7 @@ def text_error_hints(logs: DataFrame, now: Column, hours: int = 24) -> DataFrame
     )
 
 
-def scheduler_health(logs: DataFrame, now: Column, hours: int = 24) -> DataFrame:
+def scheduler_health(logs: DataFrame, now: Column, hours: int | None = 24) -> DataFrame:
     ok = F.coalesce(F.col("status"), F.lit("")) == "SUCCESS"
     return (
         logs.filter(_within("ts", now, hours))
@@ -357,7 +360,7 @@ def critical_slo(
 
 
 def runs_from_logs(
-    logs: Mapping[str, DataFrame], now: Column, hours: int = 24 * 7
+    logs: Mapping[str, DataFrame], now: Column, hours: int | None = 24 * 7
 ) -> DataFrame:
     """Job runs rebuilt from log lines: ids and status by pattern, start, end, last status."""
     lines = union_all(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,11 +30,6 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
     for key, value in _RUNTIME.items():
         spark.conf.set(key, value)
-    # A wide cluster left at the default number of shuffle partitions starts with more of
-    # them; adaptive execution merges what turns out small.
-    wide = 4 * spark.sparkContext.defaultParallelism
-    if spark.conf.get("spark.sql.shuffle.partitions") == "200" and wide > 200:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wide))
     return spark
 
 
@@ -50,13 +46,17 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset, as
-    in local tests, one temporary folder per process stands in for it.
+    A cluster names it in ``spark.checkpoint.dir``.  Only on a ``local`` master, as in
+    tests, one temporary folder per process stands in for it; elsewhere a folder of one
+    machine would scatter the files, so an unset name is an error.
     """
     global _fallback_dir
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"master {master} needs spark.checkpoint.dir, a folder that all executors reach")
     if _fallback_dir is None:
         _fallback_dir = tempfile.mkdtemp(prefix="tidemark-")
     return _fallback_dir
