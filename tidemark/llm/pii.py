@@ -214,7 +214,7 @@ def train(
     chance = counts.sum(axis=1, keepdims=True) * counts.sum(axis=0, keepdims=True) / counts.sum()
     chain = np.clip(np.log(counts / chance), -1.0, 1.0)
     agree, differ = (int(np.sum(table[c].to_numpy())) for c in ("agree", "differ"))
-    bond = float(np.clip(np.log((agree + 100) / (differ + 1)), 4.0, 8.0))
+    bond = float(np.clip(np.log((agree + 100) / (differ + 1)), 5.0, 8.0))
     return Field(np.clip(unary, -4, 4), chain, bond)
 
 
@@ -285,7 +285,7 @@ def _softmax(score: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
-def all_spans(field: Field, texts: list[str], least: float = 0.8) -> list[tuple[list[Span], list[Span]]]:
+def all_spans(field: Field, texts: list[str], least: float = 0.9) -> list[tuple[list[Span], list[Span]]]:
     """For each text its base spans, and all spans: those and the candidates the field labels."""
     bases = [base_spans(t) for t in texts]
     own = [nodes(t, base) for t, base in zip(texts, bases)]
