@@ -23,7 +23,7 @@ def ids(text):
     return np.array([*PLAIN.encode(text or "", add_special_tokens=False).ids, 1], "<u4").tobytes()
 
 
-chunks = st.sampled_from(["a", "B", "it's", "..", ".", ",", " ", "\n", "é", "É", "H̱", "İ", "Σ", "12", "½", "\x85", "\x1c", " ", "한", "ᄒ", "ᅡ", "'ll", "<|endoftext|>", "ß", "-"])
+chunks = st.sampled_from(["a", "B", "it's", "..", ".", ",", " ", "\n", "é", "É", "H̱", "İ", "Σ", "12", "½", "\x85", "\x1c", " ", "한", "ᄒ", "ᅡ", "'ll", "<|endoftext|>", "ß", "-", "क़", "שׁ", "***", "ς", "Ö"])
 
 
 @settings(max_examples=400, deadline=None)

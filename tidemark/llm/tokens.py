@@ -3,13 +3,27 @@
 from __future__ import annotations
 
 import os
-import re
+import unicodedata
+from itertools import islice, pairwise
 
 import numpy as np
+import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-_ENDS = re.compile(rb"(.*[^.,])([.,])", re.DOTALL)
+#: Stretches of letters and of marks: each is one piece to the vocabulary's own rules, if there
+#: is no apostrophe (short forms such as 's), number, combining mark or other white space.
+_SIMPLE = regex.compile(r"(?:\p{L}+|[\p{P}\p{S}--']+)+", regex.V1)
+_PIECE = regex.compile(r"\p{L}+|[^\p{L}]+")
+
+
+class _Memory(dict):
+    """Ids of words; what found no room is kept for the current call only."""
+
+    passing: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        return self.passing[word]
 
 
 class WordTokens:
@@ -21,12 +35,12 @@ class WordTokens:
     before are looked up; at most ``remember`` of them are kept.
     """
 
-    def __init__(self, path: str, remember: int = 400_000):
+    def __init__(self, path: str, remember: int = 700_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._known: dict[bytes, bytes] = {}
+        self._known = _Memory()
         self._room = remember
 
     def ids(self, texts: list[str]) -> list[bytes]:
@@ -36,56 +50,49 @@ class WordTokens:
             # The vocabulary is lower case; for ASCII text that is the same before as after.
             split.append(raw.lower().split() if raw.isascii() else raw.split())
         known = self._known
-        fresh = {word for words in split for word in set(words) if word not in known}
-        if fresh:
-            found = self._look_up(fresh)
-            if len(known) + len(found) <= self._room:
-                known.update(found)
-            else:
-                for word in fresh:
-                    if len(known) >= self._room:
-                        break
-                    known[word] = found[word]
-                found.update((w, known[w]) for words in split for w in words if w in known)
-                known = found
+        fresh = set().union(*split).difference(known)
+        found = self._look_up(fresh)
+        free = self._room - len(known)
+        known.update(found if len(found) <= free else islice(found.items(), max(0, free)))
+        known.passing = found
         get = known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
     def _look_up(self, words: set[bytes]) -> dict[bytes, bytes]:
-        out, plain, parts = {}, {}, {}
+        """Ids of words, by their pieces where the pieces are simple."""
+        out: dict[bytes, bytes] = {}
+        parts: dict[bytes, list[str]] = {}
         for word in words:
-            cut = _ENDS.fullmatch(word)
-            body, tail = cut.groups() if cut else (word, b"")
-            text = body.decode("utf-8", "replace")
-            # One closing mark after letters is a piece of its own.
-            if text.isalpha():
-                plain[body] = text
-                parts[word] = (body, tail)
+            text = word.decode("utf-8", "replace")
+            # Some letters fall apart into letters and combining marks.
+            plain = text if text.isascii() else unicodedata.normalize("NFC", text).lower()
+            if text.isalpha() and (plain is text or plain.isalpha()):
+                parts[word] = [text]
+            elif _SIMPLE.fullmatch(text) and (plain is text or _SIMPLE.fullmatch(plain)):
+                parts[word] = _PIECE.findall(text)
             else:
-                out[word] = self._pack(self._tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
-        for mark in {tail for _, tail in parts.values() if tail}:
-            plain_mark = self._pack(self._tokenizer.encode(mark.decode(), add_special_tokens=False).ids)
-            out[mark] = plain_mark
-        known = {body: self._known[body] for body in plain if body in self._known}
-        rest = [body for body in plain if body not in known]
-        if rest:
-            known.update(zip(rest, self._together([plain[body] for body in rest])))
-        for word, (body, tail) in parts.items():
-            out[word] = known[body] + (out[tail] if tail else b"")
+                out[word] = self._alone(text)
+        pieces = {piece for own in parts.values() for piece in own}
+        ids = {piece: self._known[key] for piece in pieces if (key := piece.encode()) in self._known}
+        rest = [piece for piece in pieces if piece not in ids]
+        ids.update(zip(rest, self._together(rest)))
+        for word, own in parts.items():
+            out[word] = ids[own[0]] if len(own) == 1 else b"".join([ids[piece] for piece in own])
         return out
 
-    def _together(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters, encoded as one text and cut where its words end."""
-        whole = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids, of = np.array(whole.ids, "<u4"), np.array(whole.word_ids, np.int64)
-        if ids.size and np.array_equal(np.unique(of), np.arange(len(words))):
-            cuts = np.searchsorted(of, np.arange(1, len(words)))
-            return [part.tobytes() for part in np.split(ids, cuts)]
-        return [self._pack(self._tokenizer.encode(w, add_special_tokens=False).ids) for w in words]
-
-    @staticmethod
-    def _pack(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+    def _together(self, pieces: list[str]) -> list[bytes]:
+        """Ids of simple pieces, encoded as one text and cut where its words end."""
+        if not pieces:
+            return []
+        whole = self._tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+        raw, of = np.array(whole.ids, "<u4").tobytes(), np.array(whole.word_ids, np.int64)
+        cuts = (np.searchsorted(of, np.arange(len(pieces) + 1)) * 4).tolist()
+        if of.size and of[-1] == len(pieces) - 1 and all(a < b for a, b in pairwise(cuts)):
+            return [raw[a:b] for a, b in pairwise(cuts)]
+        return [self._alone(piece) for piece in pieces]
+
+    def _alone(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 _made: dict[str, WordTokens] = {}
