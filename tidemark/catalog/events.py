@@ -268,7 +268,11 @@ def _scoped(wh) -> DataFrame:
 
 @query("d01_run_scoped_source", f"select uuid as __uuid, {_SEQ} as __lsn_num, inferred as __lsn_num_inferred from scoped_r2")
 def _(wh):
-    return _scoped(wh).select(
+    mark = _watermark(wh).first()  # one row
+    found = mg.run_scoped_source(
+        stage(wh), "2024-01-30", "r2", mark.last_lsn_num or 0, mark.last_inferred_seq or 0
+    )
+    return found.select(
         "__uuid", F.col("__lsn_num").cast("string").alias("__lsn_num"), "__lsn_num_inferred"
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.bindings import AS_OF
@@ -438,13 +440,14 @@ _WITH_CREATED = [
     ),
 )
 def _(wh):
-    names = [
-        t
-        for t in sorted(_WITH_CREATED + ["clinics", "users"])
-        if {"created_at", "id"} <= set(wh[t].columns)
-    ]
+    spark, prefix = wh["events"].sparkSession, f"g10_{uuid.uuid4().hex[:12]}_"
+    for t in (*_WITH_CREATED, "clinics", "users"):
+        wh[t].createOrReplaceTempView(f"{prefix}{t}")
+    found = rel.tables_like(spark, f"{prefix}*", ["created_at", "id"])
+    for name in spark.catalog.listTables(pattern=f"{prefix}*"):
+        spark.catalog.dropTempView(name.name)
     return rel.per_table(
-        {t: wh[t] for t in names},
+        {name.removeprefix(prefix): df for name, df in found.items()},
         lambda df: df.agg(F.count(F.lit(1)).alias("rows"), F.max("created_at").alias("newest")),
     )
 

@@ -222,14 +222,14 @@ def _(wh):
        from silver_orders""",
 )
 def _(wh):
-    from tidemark.functions.keys import greatest_known, greatest_strict
+    from tidemark.functions.keys import greatest_strict
 
     qty, clinic = F.col("qty"), F.col("clinic_id")
     amount = F.coalesce(F.col("amount").try_cast("double"), F.lit(0.0))
     return wh["silver_orders"].select(
         "id",
         greatest_strict(qty, clinic).alias("strict_greatest"),
-        greatest_known(qty, clinic).alias("known_greatest"),
+        F.greatest(qty, clinic).alias("known_greatest"),
         F.try_divide(clinic, qty).alias("ratio"),
         amount.between(1, 50).alias("in_band"),
     )

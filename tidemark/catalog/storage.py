@@ -15,7 +15,7 @@ from tidemark.operators import changes as cdc
 from tidemark.operators import contract as ct
 from tidemark.operators.incremental import materialize, merge_into_partitions, write_by_month
 from tidemark.operators.merge import apply_run, latest_per_key, watermark_of
-from tidemark.operators.rows import align_to_schema
+from tidemark.operators.rows import align_to_schema, union_all
 from tidemark.session import fresh_path
 from tidemark.sources import files
 
@@ -267,21 +267,23 @@ def _(wh):
 
 @query(
     "d14_materialize",
-    "select mode, id, number_booking from monthly_bookings, (values ('view'), ('incremental')) v(mode)",
+    "select mode, id, number_booking from monthly_bookings, (values ('view'), ('table'), ('incremental')) v(mode)",
 )
 def _(wh):
     spark = wh["orders"].sparkSession
     name, path = f"d14_{uuid.uuid4().hex[:12]}", fresh_path(spark, "d14")
     build = lambda: wh["gold_clinic_visits_doctor_monthly"]
     view = materialize(spark, name, build, "view")
+    materialize(spark, f"{name}_t", build, "table", path=f"{path}-table")
+    spark.sql(f"drop table {name}_t")  # the files stay
+    table = spark.read.parquet(f"{path}-table")
     for _run in range(2):  # the second run merges into the first and changes nothing
         stored = materialize(
             spark, name, build, "incremental", ["id"], path=path, date_col="month_start_date_key"
         )
     cols = ["id", "number_booking"]
-    return view.select(F.lit("view").alias("mode"), *cols).unionByName(
-        stored.select(F.lit("incremental").alias("mode"), *cols)
-    )
+    parts = {"view": view, "table": table, "incremental": stored}
+    return union_all([df.select(F.lit(mode).alias("mode"), *cols) for mode, df in parts.items()])
 
 
 @query(

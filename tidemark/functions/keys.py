@@ -57,11 +57,6 @@ def regex_or_null(c: Column | str, pattern: str, group: int = 1) -> Column:
     return null_if_blank(F.regexp_extract(_col(c), pattern, group))
 
 
-def greatest_known(*cols: Column) -> Column:
-    """Greatest of the non-null values (Spark's own rule, named for the reader)."""
-    return F.greatest(*cols)
-
-
 def greatest_strict(*cols: Column) -> Column:
     """Greatest, but null as soon as one argument is null (warehouse rule)."""
     any_null = cols[0].isNull()

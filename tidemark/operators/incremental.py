@@ -162,7 +162,8 @@ def materialize(
         build().createOrReplaceTempView(name)
         return spark.table(name)
     if mode == "table":
-        build().write.mode("overwrite").saveAsTable(name)
+        writer = build().write.mode("overwrite")
+        (writer.option("path", path) if path else writer).saveAsTable(name)
         return spark.table(name)
     if mode != "incremental" or path is None or date_col is None:
         raise ValueError("incremental models need a path and a date column")

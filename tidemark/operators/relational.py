@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.rows import all_of, union_all
@@ -118,6 +118,12 @@ def exact_percentile(
     return found.filter(~missed).drop("__below").unionByName(exact)
 
 
+def tables_like(spark: SparkSession, pattern: str, required: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Tables and views of the catalog whose name matches and that have all required columns."""
+    found = {t.name: spark.table(t.name) for t in spark.catalog.listTables(pattern=pattern)}
+    return {name: df for name, df in sorted(found.items()) if {*required} <= {*df.columns}}
+
+
 def per_table(
     tables: Mapping[str, DataFrame], summarise: Callable[[DataFrame], DataFrame]
 ) -> DataFrame | None:

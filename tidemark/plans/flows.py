@@ -133,7 +133,7 @@ def curate_flow(
         stored = spark.read.parquet(f"{flagged}/version={version}")
         good, bad = dq.split_classified(stored, run_id, table, stamp)
         files.write_next_version(spark, good, f"{root}/curated/{table}")
-        files.append_quarantine(spark, bad, f"{root}/curated_quarantine/{table}")
+        files.append_quarantine(spark, bad, f"{root}/curated_quarantine/{table}", "__dq_run_id")
         seen = Observation()
         metrics = dq.quality_metrics(stored, run_id, table, F.lit(now))
         totals = [F.sum(c).alias(c) for c in ("good_rows", "bad_rows")]
@@ -147,7 +147,13 @@ def _bound_options(options: Sequence[str], high: int, legacy: bool) -> dict[str,
     """Literal lower bounds of an incremental run, by option name."""
     days = inc.lower_bound(high, days=31, legacy_key_math=legacy)
     month = inc.lower_bound(high, months=1, legacy_key_math=legacy)
-    known = {"since": high, "day_bound": days, "week_bound": month, "month_key_bound": month}
+    known = {
+        "since": high,
+        "day_bound": days,
+        "week_bound": month,
+        "month_key_bound": month,
+        "month_bound": inc.month_lower_bound(high // 100, legacy_key_math=legacy),
+    }
     return {name: known[name] for name in options if name in known}
 
 
@@ -161,33 +167,36 @@ def build_marts(
 ) -> dict[str, str]:
     """Write every model of the layers in dependency order; later models read the written ones.
 
-    Models with a unique key and a date column merge into the months they touch; the rest
-    is rewritten as a new version.
+    Models with a unique key and a date key, a column or an expression, merge into the months
+    they touch; the rest is rewritten as a new version.
     """
     done: dict[str, str] = {}
     for name, m in MODELS.items():
         if m.layer not in layers:
             continue
         path = f"{root}/{name}"
-        incremental = bool(m.unique_key and m.date_col)
+        incremental = bool(m.unique_key and (m.date_col or m.date_expr))
+        # A date key that is no column of the model is stored beside its columns.
+        date_col = m.date_col or "__date_key"
+        dated = lambda df, m=m: df.withColumn("__date_key", F.expr(m.date_expr)) if m.date_expr else df
         stored = incremental and not full_refresh and files.exists(spark, f"{path}/yyyymm=*")
         if stored:
-            high = inc.high_key(spark.read.parquet(path), m.date_col)
+            high = inc.high_key(spark.read.parquet(path), date_col)
             options = _bound_options(m.options, high, legacy_key_math)
-            fresh = wh.build(name, **options)
+            fresh = dated(wh.build(name, **options))
             if not options:
                 bound = inc.lower_bound(high, days=31, legacy_key_math=legacy_key_math)
-                fresh = fresh.filter(F.col(m.date_col) >= bound)
-            inc.merge_into_partitions(spark, path, fresh, m.unique_key, m.date_col)
+                fresh = fresh.filter(F.col(date_col) >= bound)
+            inc.merge_into_partitions(spark, path, fresh, m.unique_key, date_col)
             done[name] = "merged"
         elif incremental:
-            inc.write_by_month(wh[name], path, m.cluster, date_col=m.date_col)
+            inc.write_by_month(dated(wh[name]), path, m.cluster, date_col=date_col)
             done[name] = "built"
         else:
             files.write_next_version(spark, wh[name], path)
             done[name] = "built"
         table = (
-            spark.read.parquet(path).drop("yyyymm")
+            spark.read.parquet(path).drop("yyyymm", "__date_key")
             if incremental
             else files.read_current(spark, path)
         )

@@ -39,7 +39,11 @@ def _in_month(key: str, year: int, month: int) -> Column:
     return F.col(key).between(year * 10000 + month * 100, year * 10000 + month * 100 + 99)
 
 
-@model(GOLD, unique_key=("clinic_name", "medicine_name", "year", "month"))
+@model(
+    GOLD,
+    unique_key=("clinic_name", "medicine_name", "year", "month"),
+    date_expr="cast(year * 10000 + month * 100 + 1 as int)",
+)
 def gold_best_selling_items(
     fact_inventory_export_valid: DataFrame,
     dim_date: DataFrame,
@@ -399,7 +403,12 @@ def gold_slow_moving_items(
     )
 
 
-@model(GOLD, unique_key=("booking_id", "source_type"), cluster=("source_type", "doctor_key"))
+@model(
+    GOLD,
+    unique_key=("booking_id", "source_type"),
+    cluster=("source_type", "doctor_key"),
+    date_expr="cast(date_format(booking_date, 'yyyyMMdd') as int)",
+)
 def rev_gold_revenue(
     fact_operational_clinic_bookings_valid: DataFrame,
     rev_fact_bookings: DataFrame,

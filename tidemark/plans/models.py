@@ -18,14 +18,19 @@ class Model:
     options: tuple[str, ...]
     unique_key: tuple[str, ...]
     date_col: str | None
+    date_expr: str | None
     cluster: tuple[str, ...]
 
 
 MODELS: dict[str, Model] = {}
 
 
-def model(layer: str, unique_key=(), date_col: str | None = None, cluster=()):
-    """Register a table function.  Positional parameters are inputs, keyword-only ones options."""
+def model(layer: str, unique_key=(), date_col: str | None = None, cluster=(), date_expr: str | None = None):
+    """Register a table function.  Positional parameters are inputs, keyword-only ones options.
+
+    ``date_col`` names the ``YYYYMMDD`` key by which the stored model is laid out and bounded;
+    where no column is one, ``date_expr`` computes it.
+    """
 
     def wrap(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         params = inspect.signature(fn).parameters.values()
@@ -37,6 +42,7 @@ def model(layer: str, unique_key=(), date_col: str | None = None, cluster=()):
             tuple(p.name for p in params if p.kind is p.KEYWORD_ONLY),
             tuple(unique_key),
             date_col,
+            date_expr,
             tuple(cluster),
         )
         return fn

@@ -110,6 +110,8 @@ def cooldown_stream(
         expires = last_sent // 1000 + seconds * 1000
         if expires > state.getCurrentWatermarkMs():
             state.setTimeoutTimestamp(expires)
+        else:  # it can suppress nothing any more
+            state.remove()
         yield rows.assign(emitted=flags)[names]
 
     return alerts.groupBy(key).applyInPandasWithState(
