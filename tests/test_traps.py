@@ -1,6 +1,7 @@
 """Hand-made frames for the semantic traps and edge cases."""
 
 import datetime as dt
+import math
 
 import pytest
 from conftest import rows
@@ -475,3 +476,62 @@ def test_breaches_sustained_and_against_another_metric(spark):
                    ("r", "l", at(30), 0.9), ("a", "l", at(0), 5.0), ("b", "l", at(0), 4.0), ("a", "q", at(0), 5.0))
     got = rows(mon.breaches(series, limits).select("metric", "labels", F.minute("ts"), "bound"))
     assert got == [("a", "l", 0, 4.0), ("r", "l", 20, 0.5), ("r", "l", 30, 0.5)]
+
+
+# --- bounds --------------------------------------------------------------------------------
+
+
+def test_percentile_is_exact_where_the_bracket_misses(spark):
+    from tidemark.operators.relational import exact_percentile
+
+    df = spark.range(5000).selectExpr("id % 3 as k", "cast((id * 7919) % 100003 as double) as v")
+    want = {k: sorted(r.v for r in df.filter(f"k = {k}").collect()) for k in range(3)}
+    for fraction in (0.01, 0.5, 0.95, 1.0):
+        got = exact_percentile(df, ["k"], "v", fraction, "p", margin=0.0, accuracy=2).collect()
+        assert {r.k: r.p for r in got} == {k: x[max(0, math.ceil(len(x) * fraction - 1e-9) - 1)] for k, x in want.items()}
+
+
+def test_monitor_windows(spark):
+    from tidemark.plans import monitor as mon
+
+    now = F.lit("2024-02-01 12:00:00").cast("timestamp")
+    df = spark.createDataFrame(
+        [(f"2024-0{m}", "LOAD", "", None, 1, 1) for m in ("2-01 11:00:00", "1-31 12:00:00", "1-31 11:59:59", "1-01 00:00:00")],
+        "t string, job_type string, query string, error_result string, total_bytes_processed long, total_slot_ms long",
+    )
+    df = df.withColumn("creation_time", F.col("t").cast("timestamp")).withColumn("end_time", F.col("creation_time"))
+    assert mon.job_health(df, now).agg(F.sum("jobs_total")).first()[0] == 2
+    assert mon.job_health(df, now, None).agg(F.sum("jobs_total")).first()[0] == 4
+
+
+def test_shared_folder_must_be_named_off_a_local_master(monkeypatch):
+    from tidemark import session
+
+    class Conf(dict):
+        get = dict.get
+
+    class Fake:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Fake())
+    Fake.conf["spark.checkpoint.dir"] = "hdfs:///scratch/"
+    assert session.shared_dir(Fake()) == "hdfs:///scratch"
+    Fake.conf = Conf({"spark.master": "local[4]"})
+    assert session.shared_dir(Fake())
+
+
+def test_companies_of_other_scripts_keep_their_names(spark):
+    from tidemark.functions import drugs
+
+    df = spark.createDataFrame([("日本製薬",), ("Фарма",), ("Ελλάς Φαρμ",)], "c string")
+    got = df.select(drugs.normalize_company(F.col("c")).alias("n"), drugs.company_code(F.col("c")).alias("k")).collect()
+    assert all(r.n and r.k for r in got) and len({r.k for r in got}) == 3
+
+
+def test_one_pair_for_each_code(spark):
+    from tidemark.plans.medicines import drug_codes
+
+    df = spark.createDataFrame([(1, "n", "Aspirine one; Aspirine two", "81 mg; 100 mg", "m")],
+                               "id long, name string, active_element string, concentration string, manufacturer string")
+    assert drug_codes(df, extra=True).first()["pairs"] == "aspirine one::81MG"

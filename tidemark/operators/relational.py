@@ -61,7 +61,8 @@ def first_distinct(
 
 
 def exact_percentile(
-    df: DataFrame, keys: Sequence[str], value: str, fraction: float, name: str
+    df: DataFrame, keys: Sequence[str], value: str, fraction: float, name: str,
+    margin: float = 0.001, accuracy: int = 10_000,
 ) -> DataFrame:
     """Discrete percentile: the smallest value whose cumulative share reaches ``fraction``.
 
@@ -71,11 +72,10 @@ def exact_percentile(
     tell whether the bracket holds the rank; a group where it does not is done again over all
     its distinct values.
     """
-    margin = 0.001
     points = F.array(F.lit(max(0.0, fraction - margin)), F.lit(min(1.0, fraction + margin)))
     known = df.select(*keys, value).filter(F.col(value).isNotNull())
     bounds = known.groupBy(*keys).agg(
-        F.percentile_approx(value, points, 10_000).alias("__b"), F.count(F.lit(1)).alias("__total")
+        F.percentile_approx(value, points, accuracy).alias("__b"), F.count(F.lit(1)).alias("__total")
     )
     low, high = F.col("__b")[0], F.col("__b")[1]
     bounds = bounds.select(*[F.col(k).alias(f"__{k}") for k in keys], "__b", "__total")
