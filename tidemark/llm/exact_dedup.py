@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import stored
+from tidemark.llm.scratch import stored, without
 
 _BLANK = b"\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -207,7 +207,10 @@ def exact_groups(
         "dedup-members",
     )
     best = F.min(F.struct((-F.col("code_points")).alias("n"), F.col("id").isNull().alias("none"), "id"))
-    groups = members.groupBy("first").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
+    # Stored, so that the join back on a hot group has shuffles of its own, which Spark can split.
+    groups = stored(
+        members.groupBy("first").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")), "dedup-groups"
+    )
     linked = members.join(groups, "first").select(
         F.col("id").alias(id_col),
         F.col("best.id").alias("keep_id"),
@@ -225,7 +228,6 @@ def exact_groups(
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_groups`` does not keep; of repeated rows one stays."""
     groups = stored(exact_groups(docs, id_col, text_col), "dedup-decisions")
-    gone = groups.filter(~F.col("kept")).select(F.col(id_col).alias("_gone"))
-    out = docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    out = without(docs, id_col, groups.filter(~F.col("kept")).select(id_col))
     twice = groups.filter("kept").groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return out if twice.isEmpty() else out.dropDuplicates([id_col])
