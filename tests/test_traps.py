@@ -292,6 +292,24 @@ def test_duplicate_source_key_fails_whatever_is_read(spark):
                 act(got)
 
 
+def test_merge_leaves_untouched_buckets_alone(spark, tmp_path):
+    path = tmp_path / "t"
+    t = spark.range(400).selectExpr("id", "'old' as v", "cast(1 as decimal(38,0)) as __lsn_num")
+    mg.create_buckets(t, str(path), ["id"], 16)
+    before = {f: f.read_bytes() for f in path.rglob("*.parquet")}
+    s = frame(spark, "id long, v string, __lsn_num decimal(38,0)", (7, "new", k_decimal("5")), (900, "new", k_decimal("5")))
+    touched = mg.merge_into_buckets(spark, str(path), s, ["id"], 16)
+    assert len(touched) <= 2
+    for f, data in before.items():
+        bucket = int(f.parent.name.split("=")[1])
+        assert bucket in touched or f.read_bytes() == data
+    got = spark.read.parquet(str(path))
+    assert got.count() == 401 and rows(got.filter("v = 'new'").select("id")) == [(7,), (900,)]
+    assert mg.merge_into_buckets(spark, str(path), s.limit(0), ["id"], 16) == []
+    with pytest.raises(PySparkException, match="duplicate merge key"):
+        mg.merge_into_buckets(spark, str(path), s.union(s), ["id"], 16)
+
+
 def test_watermark_is_monotone_and_null_class_counts_twice(spark):
     schema = "__lsn_num decimal(38,0), __lsn_num_inferred boolean, __commit_ts timestamp"
     at = dt.datetime(2024, 1, 1)

@@ -14,7 +14,7 @@ from tidemark.functions.text import clean_headers
 from tidemark.operators import changes as cdc
 from tidemark.operators import contract as ct
 from tidemark.operators.incremental import materialize, merge_into_partitions, write_by_month
-from tidemark.operators.merge import apply_run, latest_per_key, watermark_of
+from tidemark.operators.merge import apply_run, create_buckets, latest_per_key, merge_into_buckets, watermark_of
 from tidemark.operators.rows import align_to_schema, union_all
 from tidemark.session import fresh_path
 from tidemark.sources import files
@@ -286,6 +286,20 @@ def _(wh):
     return union_all([df.select(F.lit(mode).alias("mode"), *cols) for mode, df in parts.items()])
 
 
+@query(
+    "d04_merge_into_buckets",
+    """select id, kind, seq::varchar as __lsn_num from latest_all""",
+)
+def _(wh):
+    """A second run merged into the touched hash buckets of silver gives the newest event per key."""
+    rows = stage(wh)
+    spark, path = rows.sparkSession, fresh_path(rows.sparkSession, "buckets")
+    first, second = rows.filter("__run_id = 'r1'"), rows.filter("__run_id = 'r2'")
+    create_buckets(latest_per_key(first, USERS), path, USERS.primary_key, 16)
+    merge_into_buckets(spark, path, latest_per_key(second, USERS), USERS.primary_key, 16, source_is_unique=True)
+    return spark.read.parquet(path).select("id", "kind", F.col("__lsn_num").cast("string").alias("__lsn_num"))
+
+
 @query(
     "d04_versioned_silver",
     """select id, kind, seq::varchar as __lsn_num from latest_all""",

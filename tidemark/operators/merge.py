@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import tuple_text_to_utc
 from tidemark.functions.keys import SEQUENCE, extract_numeric
 from tidemark.operators.contract import Contract
 from tidemark.operators.rows import keep_first
+from tidemark.session import reliable_checkpoint
 
 _SYSTEM = ("is_deleted", "__lsn_num", "__commit_ts")
 _ROW_TIES = ("__uuid", "__raw_path")
@@ -135,6 +136,48 @@ def merge_upsert(
     return joined.select(*[merged(c) for c in cols])
 
 
+BUCKET = "__bucket"
+
+
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def create_buckets(df: DataFrame, path: str, keys: Sequence[str], buckets: int = 256) -> None:
+    """Write a keyed table laid out by hash bucket of its key, for ``merge_into_buckets``."""
+    laid = with_bucket(df, keys, buckets).hint("rebalance", BUCKET)
+    laid.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+
+
+def merge_into_buckets(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    buckets: int = 256,
+    when: str | None = "newer",
+    source_is_unique: bool = False,
+) -> list[int]:
+    """``merge_upsert`` of a small run into a stored table: only buckets that hold a key of the
+    source are read and written, the files of the others stay as they are.
+
+    ``buckets`` is a property of the table and must stay the same.  The source is built once and
+    the merged buckets go through a reliable checkpoint, because files being read cannot be
+    overwritten.  Returns the buckets written, at most ``buckets`` small numbers.
+    """
+    fresh = reliable_checkpoint(with_bucket(source, keys, buckets))
+    touched = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())
+    if not touched:
+        return []
+    stored = spark.read.parquet(path)
+    target = stored.filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    merged = merge_upsert(target, fresh.drop(BUCKET), keys, when, source_is_unique)
+    out = reliable_checkpoint(with_bucket(merged, keys, buckets).select(*stored.columns))
+    writer = out.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    return touched
+
+
 def _fail_on_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows; running the plan raises if a key repeats.
 
