@@ -74,8 +74,8 @@ def _(wh):
     return out.drop("max_ingest_ts")
 
 
-@query(
-    "m03_silver_freshness",
+cte(
+    "silver_rows",
     f"""select 'silver_orders' as silver_table, count(*) as row_count, max(__commit_ts)::varchar as max_commit_ts,
                max(__lsn_num)::double as max_lsn_num, count(*) filter (where is_deleted) as soft_deleted_rows,
                count(*) filter (where is_deleted) / count(*) as soft_deleted_ratio,
@@ -84,10 +84,11 @@ def _(wh):
         select 'plain', count(*), max(__commit_ts)::varchar, max(__lsn_num)::double, 0, 0.0,
                {_MINUTES.format(a='max(__commit_ts)', b=_NOW)} from silver_orders""",
 )
+
+
+@query("m03_silver_freshness", "select * from silver_rows")
 def _(wh):
-    silver = wh["silver_orders"]
-    tables = {"silver_orders": silver, "plain": silver.drop("is_deleted"), "users": wh["users"]}
-    return mon.silver_freshness(tables, _now())
+    return mon.silver_freshness(_silver(wh), _now())
 
 
 @query(
@@ -121,8 +122,8 @@ def _(wh):
     return mon.job_health(jobs, _now(), ALL_HOURS)
 
 
-@query(
-    "m06_object_ingest",
+cte(
+    "ingest_hours",
     rf"""select {_HOUR}, coalesce(nullif(regexp_extract(resource_name, 'buckets/([^/]+)/objects/', 1), ''),
                 nullif(regexp_extract(request_url, '/b/([^/]+)/o/', 1), ''), 'unknown') as bucket_name,
                nullif(regexp_extract(resource_name, '/objects/cdc/([^/]+)/', 1), '') as table_id, method_name,
@@ -131,6 +132,9 @@ def _(wh):
                count(*) filter (where method_name = 'storage.objects.delete') as objects_deleted, {_ERR}
         from ops_logs group by all""",
 )
+
+
+@query("m06_object_ingest", "select * from ingest_hours")
 def _(wh):
     return mon.object_ingest(_logs(wh), _now(), ALL_HOURS)
 
@@ -279,50 +283,28 @@ def _(wh):
 
 # --- series and breaches -------------------------------------------------------------------
 
-WATERMARK_METRICS = [
-    mon.Metric("ops/watermark/mins_since_update", ["mins_since_watermark_update"]),
-    mon.Metric("ops/watermark/mins_since_last_commit", ["mins_since_last_commit"]),
-]
-JOB_METRICS = [
-    mon.Metric("ops/jobs/jobs_total", ["jobs_total", "total_jobs"]),
-    mon.Metric("ops/jobs/failed_ratio", ["failed_ratio"]),
-    mon.Metric("ops/jobs/p95_duration_sec", ["duration_p95_sec", "p95_duration_sec"]),
-]
-SCHEDULER_METRICS = [
-    mon.Metric("ops/scheduler/success_ratio", ["success_ratio"]),
-    mon.Metric("ops/scheduler/total_events", ["total_events"]),
-]
-SLO_METRICS = [
-    mon.Metric("ops/dag/critical_p95_minutes", ["critical_p95_minutes"]),
-    mon.Metric("ops/dag/restore_buffer_minutes", ["restore_buffer_minutes"]),
-    mon.Metric("ops/dag/recovery_time_minutes", ["recovery_time_minutes"]),
-    mon.Metric("ops/dag/restore_window_minutes", ["restore_window_minutes"]),
-]
+def _silver(wh):
+    silver = wh["silver_orders"]
+    return {"silver_orders": silver, "plain": silver.drop("is_deleted"), "users": wh["users"]}
 
 
 def _series(wh):
     jobs = wh["warehouse_jobs"].withColumns(
         {c: F.col(c).cast("timestamp") for c in ("creation_time", "end_time")}
     )
-    hours = mon.job_health(jobs, _now(), ALL_HOURS).withColumn("scope", F.lit("all"))
-    latest = ["hour_bucket", "monitor_ts_utc", "monitor_date_local"]
-    parts = [
-        mon.metric_series(
-            mon.watermark_health(_watermarks(wh), _now()),
-            WATERMARK_METRICS,
-            {"table_name": "table_name"},
-            ["monitor_date_local"],
-        ),
-        mon.metric_series(hours, JOB_METRICS, {"scope": "scope"}, latest),
-        mon.metric_series(
-            mon.scheduler_health(_logs(wh), _now(), ALL_HOURS),
-            SCHEDULER_METRICS,
-            {"job_id": "job_id", "scheduler_location": "scheduler_location"},
-            latest,
-        ),
-        mon.metric_series(_slo(wh), SLO_METRICS, {"dag_id": "dag_id"}, ["monitor_date_local"]),
-    ]
-    return mon.union_all(parts)
+    logs, now = _logs(wh), _now()
+    return mon.monitor_series(
+        {
+            "watermark_health": mon.watermark_health(_watermarks(wh), now).drop("updated_at"),
+            "job_health": mon.job_health(jobs, now, ALL_HOURS).withColumn("scope", F.lit("all")),
+            "component_health": mon.component_health(_by_component(wh), now, ALL_HOURS),
+            "stream_health": mon.stream_health(logs, now, ALL_HOURS),
+            "object_ingest": mon.object_ingest(logs, now, ALL_HOURS),
+            "scheduler_health": mon.scheduler_health(logs, now, ALL_HOURS),
+            "critical_slo": _slo(wh),
+            "silver_freshness": mon.silver_freshness(_silver(wh), now),
+        }
+    )
 
 
 def _wide(source: str, labels: str, metrics: dict[str, str], where: str = "true") -> str:
@@ -349,17 +331,48 @@ cte(
                 """'{"scope":"all"}'""",
                 {
                     "ops/jobs/jobs_total": "jobs_total",
+                    "ops/jobs/jobs_failed": "jobs_failed",
+                    "ops/jobs/bytes_processed": "bytes_processed",
+                    "ops/jobs/slot_ms": "slot_ms",
                     "ops/jobs/failed_ratio": "failed_ratio",
                     "ops/jobs/p95_duration_sec": "p95_duration_sec",
                 },
                 "hour_bucket = (select max(hour_bucket) from job_hours)",
             ),
+            _wide(
+                "component_hours",
+                """'{"component":"' || component || '"}'""",
+                {f"ops/component/{m}": m for m in ("total_events", "error_events", "error_hints_text")},
+                "h = (select max(h) from component_hours)",
+            ),
+            _wide(
+                "stream_hours",
+                """'{"stream_id":"' || stream_id || '"}'""",
+                {f"ops/stream/{m}": m for m in ("total_events", "error_events", "lag_or_error_hints")},
+                "h = (select max(h) from stream_hours)",
+            ),
+            _wide(
+                "(select bucket_name, table_id, sum(objects_created) as objects_created, sum(objects_deleted) as "
+                "objects_deleted, sum(error_events) as error_events from ingest_hours where hour_bucket = "
+                "(select max(hour_bucket) from ingest_hours) group by all)",
+                """'{"bucket_name":"' || bucket_name || '","table_id":"' || coalesce(table_id, 'unknown') || '"}'""",
+                {f"ops/objects/{m}": m for m in ("objects_created", "objects_deleted", "error_events")},
+            ),
+            _wide(
+                "silver_rows",
+                """'{"silver_table":"' || silver_table || '"}'""",
+                {"ops/silver/freshness_lag_minutes": "freshness_lag_minutes"},
+            ),
             _wide(
                 "scheduler_hours",
                 """'{"job_id":"' || job_id || '","scheduler_location":"' || scheduler_location || '"}'""",
                 {
                     "ops/scheduler/success_ratio": "success_ratio",
-                    "ops/scheduler/total_events": "total_events",
+                    **{
+                        f"ops/scheduler/{m}": m
+                        for m in ("total_events", "error_events", "http_4xx_5xx_events", "http_5xx_events",
+                                  "success_events", "non_success_events")
+                    },
                 },
                 "h = (select max(h) from scheduler_hours)",
             ),
@@ -389,6 +402,8 @@ def _(wh):
          ('ops/watermark/mins_since_update', '>', 180.0::double, 'warning', 0::bigint),
          ('ops/jobs/failed_ratio', '>', 0.05, 'warning', 15),
          ('ops/scheduler/success_ratio', '<', 0.95, 'warning', 30),
+         ('ops/stream/error_events', '>', 0, 'warning', 15),
+         ('ops/silver/freshness_lag_minutes', '>', 120, 'warning', 0),
          ('ops/dag/restore_buffer_minutes', '<', 0, 'critical', 0)) l(metric, op, bound, severity, minutes)
          using (metric)
        where (op = '>' and value > bound) or (op = '<' and value < bound)

@@ -454,6 +454,101 @@ def metric_series(
     return last.select("metric", "labels", "value")
 
 
+@dataclass(frozen=True)
+class MetricSet:
+    """The series of one monitor: ``{metric: columns that may hold it}`` under a prefix.
+
+    ``summed`` adds up rows that share their labels, as a monitor with further keys has.
+    """
+
+    prefix: str
+    metrics: Mapping[str, Sequence[str]]
+    labels: Sequence[str]
+    latest: Sequence[str] = ("hour_bucket", "monitor_ts_utc", "monitor_date_local")
+    summed: bool = False
+
+    def series(self, df: DataFrame) -> DataFrame:
+        if self.summed:
+            newest = latest_partition(df, self.latest)
+            columns = [c for names in self.metrics.values() for c in names if c in df.columns]
+            df = newest.groupBy(*self.labels).agg(*[F.sum(c).alias(c) for c in columns])
+        return metric_series(
+            df,
+            [Metric(f"{self.prefix}/{name}", columns) for name, columns in self.metrics.items()],
+            {label: label for label in self.labels},
+            () if self.summed else self.latest,
+        )
+
+
+def _same(*names: str) -> dict[str, list[str]]:
+    return {n: [n] for n in names}
+
+
+# Exported metrics; fixed names.
+METRIC_SETS = {
+    "watermark_health": MetricSet(
+        "ops/watermark",
+        {"mins_since_update": ["mins_since_watermark_update"], "mins_since_last_commit": ["mins_since_last_commit"]},
+        ["table_name"],
+        ["monitor_date_local", "updated_at"],
+    ),
+    "job_health": MetricSet(
+        "ops/jobs",
+        {
+            "jobs_total": ["jobs_total", "total_jobs", "job_total"],
+            "jobs_failed": ["jobs_failed", "failed_jobs", "job_failed"],
+            "failed_ratio": ["failed_ratio", "job_failed_ratio"],
+            "bytes_processed": ["bytes_processed", "total_bytes_processed"],
+            "slot_ms": ["slot_ms", "total_slot_ms"],
+            "p95_duration_sec": ["p95_duration_sec", "duration_p95_sec", "p95_sec"],
+        },
+        ["scope"],
+    ),
+    "component_health": MetricSet(
+        "ops/component", _same("total_events", "error_events", "error_hints_text"), ["component"], summed=True
+    ),
+    "stream_health": MetricSet(
+        "ops/stream",
+        {
+            "total_events": ["total_events", "events_total"],
+            "error_events": ["error_events", "events_error"],
+            "lag_or_error_hints": ["lag_or_error_hints", "error_hints"],
+        },
+        ["stream_id"],
+    ),
+    "object_ingest": MetricSet(
+        "ops/objects",
+        {
+            "objects_created": ["objects_created", "created_objects"],
+            "objects_deleted": ["objects_deleted", "deleted_objects"],
+            "error_events": ["error_events", "events_error"],
+        },
+        ["bucket_name", "table_id"],
+        summed=True,
+    ),
+    "scheduler_health": MetricSet(
+        "ops/scheduler",
+        _same(
+            "total_events", "error_events", "http_4xx_5xx_events", "http_5xx_events", "success_events",
+            "non_success_events", "success_ratio",
+        ),
+        ["job_id", "scheduler_location"],
+    ),
+    "critical_slo": MetricSet(
+        "ops/dag",
+        _same("critical_p95_minutes", "recovery_time_minutes", "restore_buffer_minutes", "restore_window_minutes"),
+        ["dag_id"],
+        ["monitor_date_local", "monitor_ts_utc"],
+    ),
+    "silver_freshness": MetricSet("ops/silver", _same("freshness_lag_minutes"), ["silver_table"], ()),
+}
+
+
+def monitor_series(monitors: Mapping[str, DataFrame]) -> DataFrame | None:
+    """All series of the monitors that are there, by the names of ``METRIC_SETS``."""
+    return union_all([kind.series(monitors[name]) for name, kind in METRIC_SETS.items() if name in monitors])
+
+
 @dataclass(frozen=True)
 class Limit:
     """Breach when ``value op bound`` held for ``minutes``.
