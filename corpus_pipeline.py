@@ -37,7 +37,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 2048 tokens."""
     small_batches(tune(spark))
-    return packing.pack(docs)
+    # Workers of long pipelines share their executor with a grown heap: they remember fewer words.
+    return packing.pack(docs, remember=150_000)
 
 
 STAGES = [
