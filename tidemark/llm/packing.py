@@ -20,7 +20,8 @@ _BLOCK = 1 << 16
 
 
 def tokenised(
-    docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int, width: int, filler_share: int
+    docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int, width: int, filler_share: int,
+    remember: int,
 ) -> DataFrame:
     """One row per document, without its ids:
 
@@ -38,7 +39,7 @@ def tokenised(
     close = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = word_tokens(tokenizer)
+        tokens = word_tokens(tokenizer, remember)
         for batch in batches:
             n, crcs, tails, tail_crcs, tail_ids = [], [], [], [], []
             texts = [t or "" for t in batch.column("text").to_pylist()]
@@ -92,6 +93,7 @@ def pack(
     width: int = 2048,
     grain: int = 32,
     filler_share: int = 32,
+    remember: int = 700_000,
 ) -> DataFrame:
     """Pieces of all documents, each in a place of a sequence of at most ``width`` tokens:
     ``id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
@@ -106,12 +108,13 @@ def pack(
 
     A null text is empty: the end id alone.  Null and repeated ids are packed like others.  An
     empty table gives no rows.  The driver holds the histogram and the patterns, at most
-    ``width / grain`` classes; ids stay in their task, but for those of fillers.
+    ``width / grain`` classes; ids stay in their task, but for those of fillers.  A Python worker
+    remembers the ids of up to ``remember`` words.
     """
     spark = docs.sparkSession
     # Written once: the handle of a row and its ids must stay the same in all that follows.
     table = stored(
-        tokenised(docs, id_col, text_col, tokenizer, end_id, width, filler_share), "packing-tokens"
+        tokenised(docs, id_col, text_col, tokenizer, end_id, width, filler_share, remember), "packing-tokens"
     )
     light = table.drop("tail_ids")
     items = light.filter("tail > 0 AND NOT filler").withColumn("class", F.ceil(F.col("tail") / grain).cast("long"))

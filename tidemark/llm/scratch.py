@@ -21,8 +21,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Send texts to Python in small batches: a batch has a number of rows, not of bytes."""
+    """Read texts and send them to Python in small batches.
+
+    A batch has a number of rows, not of bytes: with long texts the default sizes make arrays
+    of many megabytes, which fill the executors' heap and the Python workers.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(rows))
 
 
 def _nullable(schema: T.StructType) -> T.StructType:

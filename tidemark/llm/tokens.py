@@ -32,10 +32,10 @@ class WordTokens:
     The vocabulary's rules work within stretches without white space (it drops white space and
     splits there first), so a text's ids are the ids of its words one after another.  ASCII
     white space is enough to cut at; what lies between may hold other white space.  Words met
-    before are looked up; at most ``remember`` of them are kept.
+    before are looked up; at most ``remember`` of them are kept, which takes about 0.2 KB each.
     """
 
-    def __init__(self, path: str, remember: int = 700_000):
+    def __init__(self, path: str, remember: int):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
@@ -95,16 +95,16 @@ class WordTokens:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-_made: dict[str, WordTokens] = {}
+_made: dict[tuple[str, int], WordTokens] = {}
 
 
-def word_tokens(path: str) -> WordTokens:
+def word_tokens(path: str, remember: int) -> WordTokens:
     """The tokenizer of this Python worker; its memory of words outlives a task."""
-    if path not in _made:
+    if (path, remember) not in _made:
+        place = path
         if not os.path.exists(path):
             import public_tokenizers
 
-            _made[path] = WordTokens(public_tokenizers.path(path))
-        else:
-            _made[path] = WordTokens(path)
-    return _made[path]
+            place = public_tokenizers.path(path)
+        _made[path, remember] = WordTokens(place, remember)
+    return _made[path, remember]
