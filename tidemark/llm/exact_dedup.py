@@ -14,12 +14,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import stored, without
+from tidemark.llm.scratch import stored, with_handles
 
 _BLANK = b"\x20\x09\x0a\x0b\x0c\x0d"
+CAPACITY, DIRECTORY_BITS, KEY_BITS = 2_000, 16, 63
 
 
 @dataclass(frozen=True)
@@ -90,7 +91,7 @@ def _key(digest, key_bits: int) -> int:
 
 
 def _pages(
-    docs: DataFrame, id_col: str, text_col: str, key_bits: int, directory: Directory, memory: int = 32 << 20
+    docs: DataFrame, id_col: str, text_col: str, key_bits: int, directory: Directory, row: Column, memory: int = 32 << 20
 ) -> DataFrame:
     """Index entries with their bytes: ``row, id, code_points, sha, key, bucket, head, body``.
 
@@ -98,9 +99,7 @@ def _pages(
     whose bytes are equal to a remembered one points to it as its ``head`` and brings no bytes
     along, so of a text with very many copies each task sends few on.
     """
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
-    )
+    rows = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     down = 63 - directory.global_depth
 
@@ -166,9 +165,9 @@ def exact_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    capacity: int = 2_000,
-    directory_bits: int = 16,
-    key_bits: int = 63,
+    capacity: int = CAPACITY,
+    directory_bits: int = DIRECTORY_BITS,
+    key_bits: int = KEY_BITS,
 ) -> DataFrame:
     """One row per input row: ``id_col, keep_id, group_size, kept, text_sha256``.
 
@@ -180,6 +179,37 @@ def exact_groups(
     (all that the driver holds), ``key_bits`` the length of a key: short keys only make longer
     chains.  A text whose key occurs once has no equal and does not enter the index.
     """
+    entries, again, members = _index(docs, id_col, text_col, capacity, directory_bits, key_bits)
+    # Stored, so that the join back on a hot group has shuffles of its own, which Spark can split.
+    groups = stored(
+        members.groupBy("first").agg(F.count(F.lit(1)).alias("group_size"), _best().alias("best")), "dedup-groups"
+    )
+    linked = members.join(groups, "first").select(
+        F.col("id").alias(id_col),
+        F.col("best.id").alias("keep_id"),
+        "group_size",
+        (F.col("id").eqNullSafe(F.col("best.id")) & (F.col("code_points") == -F.col("best.n"))).alias("kept"),
+        F.col("sha").alias("text_sha256"),
+    )
+    alone = entries.join(again, "key", "left_anti").select(
+        F.col("id").alias(id_col), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+        F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"),
+    )
+    return alone.unionByName(linked)
+
+
+def _best(*ties: str) -> Column:
+    """Of a group the entry that stays."""
+    return F.min(F.struct((-F.col("code_points")).alias("n"), F.col("id").isNull().alias("none"), "id", *ties))
+
+
+def _index(
+    docs: DataFrame, id_col: str, text_col: str, capacity: int, directory_bits: int, key_bits: int,
+    handle: str | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The entries of all rows, the keys that occur again, and of their rows ``id, code_points,
+    sha, first``, with ``row`` if the rows have a ``handle``; ``first`` is the same for equal texts.
+    """
     entries = stored(_entries(docs, id_col, text_col, key_bits), "dedup-entries")
     again = stored(
         entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "dedup-keys"
@@ -190,8 +220,9 @@ def exact_groups(
     cells[loads["cell"].to_numpy()] = loads["n"].to_numpy()
     directory = build_directory(cells, directory_bits, capacity)
 
+    row = F.col(handle) if handle else F.monotonically_increasing_id()
     pages = stored(
-        _pages(docs, id_col, text_col, key_bits, directory).join(again, "key", "left_semi"), "dedup-pages"
+        _pages(docs, id_col, text_col, key_bits, directory, row).join(again, "key", "left_semi"), "dedup-pages"
     )
     firsts = (
         pages.filter(F.col("body").isNotNull())
@@ -201,33 +232,22 @@ def exact_groups(
         .mapInArrow(_chains, "row bigint, first bigint")
     )
     members = stored(
-        pages.select("id", "code_points", "sha", "head").join(
+        pages.select(*(["row"] if handle else []), "id", "code_points", "sha", "head").join(
             firsts.select(F.col("row").alias("head"), "first"), "head"
         ),
         "dedup-members",
     )
-    best = F.min(F.struct((-F.col("code_points")).alias("n"), F.col("id").isNull().alias("none"), "id"))
-    # Stored, so that the join back on a hot group has shuffles of its own, which Spark can split.
-    groups = stored(
-        members.groupBy("first").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")), "dedup-groups"
-    )
-    linked = members.join(groups, "first").select(
-        F.col("id").alias(id_col),
-        F.col("best.id").alias("keep_id"),
-        "group_size",
-        (F.col("id").eqNullSafe(F.col("best.id")) & (F.col("code_points") == -F.col("best.n"))).alias("kept"),
-        F.col("sha").alias("text_sha256"),
-    )
-    alone = entries.join(again, "key", "left_anti").select(
-        F.col("id").alias(id_col), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-        F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"),
-    )
-    return alone.unionByName(linked)
+    return entries, again, members
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` does not keep; of repeated rows one stays."""
-    groups = stored(exact_groups(docs, id_col, text_col), "dedup-decisions")
-    out = without(docs, id_col, groups.filter(~F.col("kept")).select(id_col))
-    twice = groups.filter("kept").groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return out if twice.isEmpty() else out.dropDuplicates([id_col])
+    """``docs`` with one row of each group of equal texts: the one with the most code points, then
+    the smallest id, a null id last; of rows that are equal in that any one."""
+    rows, handle = with_handles(docs, "dedup-rows")
+    _, _, members = _index(rows, id_col, text_col, CAPACITY, DIRECTORY_BITS, KEY_BITS, handle)
+    groups = stored(members.groupBy("first").agg(_best("row").alias("best")), "dedup-groups")
+    gone = stored(
+        members.join(groups, "first").filter(F.col("row") != F.col("best.row")).select(F.col("row").alias(handle)),
+        "dedup-gone",
+    )
+    return rows.join(gone, handle, "left_anti").select(*docs.columns)

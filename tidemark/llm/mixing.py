@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.scratch import free_name, running_totals, stored
+from tidemark.llm.scratch import free_name, running_totals, stored, with_handles
 
 _WORD = r"[^\x20\x09-\x0D]+"
 #: Fixed-point steps of one copy: running sums are exact, in whatever order they are added.
@@ -64,8 +64,10 @@ def mix(
     budget: float = 1.5,
     most: int = 2,
     seed: int = 0,
+    handle: str | None = None,
 ) -> DataFrame:
-    """``key_col, size, source_size, target, copies, taken`` for every row.
+    """``key_col, size, source_size, target, copies, taken`` for every row; after them the column
+    ``handle``, if the rows have one.
 
     A document's expected copies are its source's target over its size.  They are summed up
     along the source, one offset drawn from ``seed`` and the source is added, and the document
@@ -83,6 +85,7 @@ def mix(
             F.col(key_col).alias("key"),
             F.col(source_col).cast("string").alias("source"),
             word_count(F.col(text_col)).alias("size"),
+            *([F.col(handle).alias("row")] if handle else []),
         ),
         "mix-sizes",
     )
@@ -98,31 +101,27 @@ def mix(
         F.col("source").alias("of"), "source_size", "target", step.cast("long").alias("step"), offset.alias("offset"),
     )
     high = F.greatest(F.length(F.bin("size")) - 3, F.lit(0)).cast("int")
+    row = ["row"] if handle else []
     laid = sized.join(goal, F.col("source").eqNullSafe(F.col("of"))).select(
         "key", "source", "size", "source_size", "target", "step", "offset",
         (F.expr("shiftright(size, greatest(length(bin(size)) - 3, 0))") + 8 * high.cast("long")).alias("class"),
-        F.pmod(F.coalesce(F.col("key"), F.lit(0)), F.lit(64)).alias("salt"),
+        F.pmod(F.coalesce(F.col("key"), F.lit(0)), F.lit(64)).alias("salt"), *row,
     )
     summed = running_totals(
-        laid, ["source"], ["class", "salt"], ["size", F.col("key").asc_nulls_first()], {"start": "step"}
+        laid, ["source"], ["class", "salt"], ["size", F.col("key").asc_nulls_first(), *row], {"start": "step"}
     )
     copies = F.expr(f"(start + offset + step) div {_UNIT} - (start + offset) div {_UNIT}")
     return summed.select(
         F.col("key").alias(key_col), "size", "source_size", "target", copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"),
+        (copies * F.col("size")).alias("taken"), *[F.col(c).alias(handle) for c in row],
     )
 
 
 def take(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``docs`` with each row as often as the mix takes it, none to twice.
-
-    Rows that share an id are taken alike, as often as the first of them by the mix.
-    """
-    mixed = mix(docs, key_col, text_col, source_col)
-    of, times = free_name(docs, "taken_key"), free_name(docs, "taken_times")
-    taken = stored(
-        mixed.groupBy(F.col(key_col).alias(of)).agg(F.max("copies").alias(times)).filter(F.col(times) > 0), "mix-taken"
-    )
-    joined = docs.join(taken, F.col(key_col).eqNullSafe(F.col(of)))
-    repeated = joined.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
-    return repeated.drop(of, times)
+    """``docs`` with each row as often as the mix takes it, none to twice."""
+    rows, handle = with_handles(docs, "mix-rows")
+    times = free_name(rows, "taken_times")
+    mixed = mix(rows, key_col, text_col, source_col, handle=handle)
+    taken = stored(mixed.select(handle, F.col("copies").alias(times)).filter(F.col(times) > 0), "mix-taken")
+    repeated = rows.join(taken, handle).withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
+    return repeated.select(*docs.columns)

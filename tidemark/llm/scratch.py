@@ -42,10 +42,14 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose id, null too, is in the one column of ``gone``."""
-    name = free_name(docs, "gone")
-    return docs.join(gone.toDF(name), F.col(id_col).eqNullSafe(F.col(name)), "left_anti")
+def with_handles(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` stored with a handle of each row, and the handle's column.
+
+    Ids may be null or repeated; what is decided about a row is carried out by its handle.
+    Written once, so that it is the same handle in all that follows.
+    """
+    handle = free_name(docs, "row_handle")
+    return stored(docs.withColumn(handle, F.monotonically_increasing_id()), name), handle
 
 
 def running_totals(

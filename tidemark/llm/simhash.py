@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.scratch import stored, without
+from tidemark.llm.scratch import stored, with_handles
 
 STEPS = 32
 #: Reference fingerprints: the ladder, and as many drawn at random (fixed seed).
@@ -67,17 +67,23 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, handle: str | None = None
 ) -> DataFrame:
-    """``id, fp`` of every row, ``fp`` as a signed 64-bit integer."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """``id, fp`` of every row, ``fp`` as a signed 64-bit integer; after them its ``row``, if the rows have a ``handle``."""
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), *([F.col(handle).alias("row")] if handle else [])
+    )
+    carry = ["row"] if handle else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array([fingerprint(t, words) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(values.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(values.view(np.int64)), *(batch.column(c) for c in carry)], ["id", "fp", *carry]
+            )
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp bigint")
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, ", ".join([f"id {kind}, fp bigint", *(f"{c} bigint" for c in carry)]))
 
 
 # -- candidate keys ---------------------------------------------------------------------------
@@ -264,13 +270,7 @@ def near_groups(
     texts share a fingerprint and are compared once.  Null ids never name a component unless all
     its rows have none; repeated rows get equal results.
     """
-    marked = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    distinct = stored(marked.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-ids")
-    linked = components(near_links(distinct, radius))
-    named = distinct.join(linked, distinct["fp"] == linked["node"], "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
-    named = stored(named, "fingerprint-components")
+    marked, named = _named(fingerprints(docs, id_col, text_col, words), radius)
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     by_fp = named.join(least, "component").select(F.col("fp").alias("of"), "component_id")
     return marked.join(by_fp, F.col("fp") == F.col("of")).select(
@@ -278,7 +278,32 @@ def near_groups(
     )
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one that names it."""
-    groups = stored(near_groups(docs, id_col, text_col), "simhash-decisions")
-    return without(docs, id_col, groups.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col))
+def _named(prints: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of all rows, and ``fp, least, component`` of each different one: its
+    smallest id and the fingerprint that stands for its component."""
+    marked = stored(prints, "fingerprints")
+    distinct = stored(marked.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-ids")
+    linked = components(near_links(distinct, radius))
+    named = distinct.join(linked, distinct["fp"] == linked["node"], "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("component")
+    )
+    return marked, stored(named, "fingerprint-components")
+
+
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2
+) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id, a null id last; of rows that
+    share it any one."""
+    rows, handle = with_handles(docs, "simhash-rows")
+    marked, named = _named(fingerprints(rows, id_col, text_col, words, handle), radius)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
+    # By fingerprint first: a row for each different one is joined, and no hot group.
+    by_fp = stored(marked.groupBy("fp").agg(first), "simhash-first")
+    again = F.min("first").alias("first")
+    kept = stored(
+        by_fp.join(named.select("fp", "component"), "fp").groupBy("component").agg(again)
+        .select(F.col("first.row").alias(handle)),
+        "simhash-kept",
+    )
+    return rows.join(kept, handle, "left_semi").select(*docs.columns)
