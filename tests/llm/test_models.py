@@ -142,3 +142,21 @@ def test_field(spark):
     assert (row["n_phone"], row["n_card"]) == (1, 0) and row["spans"].count("phone:") == 3
     assert pii.find(empty(spark), pii.train(empty(spark))).count() == 0
     assert pii.all_spans(field, [LONG])[0] == ([], [])
+
+
+def test_sure_spans_reach_all_repeats_of_a_document():
+    """However many repeats lie between, and however many documents are settled with them."""
+    unary = np.zeros((pii._CELLS, pii._LABELS))
+    said, sure = "955 555-8761", "+1 (955) 555-8761"
+    node = pii.nodes(f"x {said} y", [])[0]
+    unary[node.cells[0], 0] = 1.0  # one nat for: not personal
+    field = pii.Field(unary, np.zeros((pii._LABELS, pii._LABELS)), 8.0)
+    for n in (50, 500):
+        first = f"{sure} then" + f" w {said} w" * n
+        last = f" w {said} w" * n + f" then {sure}"
+        plain = f" w {said} w" * n
+        found = pii.all_spans(field, [first, plain, last])
+        assert [len(spans) for _, spans in found] == [n + 1, 0, n + 1]
+        own = [pii.nodes(t, pii.base_spans(t)) for t in (first, last)]
+        alone = np.concatenate([pii.posteriors(field, [o]) for o in own])
+        assert np.allclose(pii.posteriors(field, own), alone, atol=1e-3)

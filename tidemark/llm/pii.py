@@ -9,6 +9,7 @@ edges, so a number that is written once in full form is recognised where it is r
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import zlib
@@ -227,16 +228,38 @@ def _skips(docs: list[list[Node]]) -> list[tuple[int, int]]:
             for key in n.keys:
                 if key in last:
                     out.add((at + last[key], at + i))
-                last[key] = at + i
+                last[key] = i
         at += len(own)
     return sorted(out)
 
 
-def posteriors(field: Field, docs: list[list[Node]], rounds: int = 12) -> np.ndarray:
+def _anchors(docs: list[list[Node]]) -> list[tuple[int, int]]:
+    """Edges between each candidate and the nearest sure span with the same key, before or after it."""
+    out, at = set(), 0
+    for own in docs:
+        sure: dict[tuple[str, str], list[int]] = {}
+        for i, n in enumerate(own):
+            if n.label:
+                for key in n.keys:
+                    sure.setdefault(key, []).append(i)
+        for i, n in enumerate(own):
+            for key in n.keys if not n.label else ():
+                if key in sure:
+                    place = bisect.bisect(sure[key], i)
+                    near = min(sure[key][max(0, place - 1) : place + 1], key=lambda s: abs(s - i))
+                    out.add((at + min(near, i), at + max(near, i)))
+        at += len(own)
+    return sorted(out)
+
+
+def posteriors(field: Field, docs: list[list[Node]], guard: int = 1_000) -> np.ndarray:
     """Label probabilities of all candidates of several documents, by loopy message passing.
 
     The documents are one graph without edges between them, so each round is a few array
-    operations.  Sure labels are fixed.
+    operations.  Sure labels are fixed, and each candidate is joined to the nearest sure span it
+    repeats, so none is farther from it than one step.  A document is passed on until its own
+    messages have settled; one that swings is damped more with time, and left after ``guard``
+    rounds.
     """
     flat = [n for own in docs for n in own]
     if not flat:
@@ -252,7 +275,7 @@ def posteriors(field: Field, docs: list[list[Node]], rounds: int = 12) -> np.nda
         pairs += [(at + i - 1, at + i) for i in range(1, len(own))]
         at += len(own)
     weights += [field.chain] * len(pairs)
-    skips = _skips(docs)
+    skips = sorted({*_skips(docs), *_anchors(docs)})
     pairs += skips
     weights += [bond] * len(skips)
     if not pairs:
@@ -264,19 +287,31 @@ def posteriors(field: Field, docs: list[list[Node]], rounds: int = 12) -> np.nda
     table = np.concatenate([w, w.transpose(0, 2, 1)])
     back = np.concatenate([np.arange(a.size) + a.size, np.arange(a.size)])
     message = np.zeros((into.size, _LABELS))
-    for _ in range(rounds):
+    doc = np.repeat(np.arange(len(docs)), [len(own) for own in docs])[into]
+    live = np.arange(into.size)  # messages of documents that have not settled
+    place = np.empty(into.size, np.int64)
+    for done in range(guard):
+        place[live] = np.arange(live.size)
+        own = message[live]
         belief = score.copy()
-        np.add.at(belief, into, message)
-        sent = (belief[out_of] - message[back])[:, :, None] + table
+        np.add.at(belief, into[live], own)
+        belief = belief[out_of[live]] - own[place[back[live]]]
+        held = fixed[out_of[live]]  # nothing that arrives changes a sure label, however much it is
+        belief[held] = score[out_of[live][held]]
+        sent = belief[:, :, None] + table[live]
         top = sent.max(axis=1)
         fresh = top + np.log(np.exp(sent - top[:, None, :]).sum(axis=1))
         fresh -= fresh.max(axis=1, keepdims=True)
-        settled = np.abs(fresh - message).max() < 1e-3
-        message = 0.5 * message + 0.5 * fresh
-        if settled:
+        moved = np.zeros(len(docs))
+        np.maximum.at(moved, doc[live], np.abs(fresh - own).max(axis=1))
+        pace = 0.5 * 0.8 ** (done // 100)
+        message[live] = (1 - pace) * own + pace * fresh
+        live = live[moved[doc[live]] >= 1e-3]
+        if not live.size:
             break
     belief = score.copy()
     np.add.at(belief, into, message)
+    belief[fixed] = score[fixed]
     return _softmax(belief)
 
 
