@@ -65,3 +65,21 @@ def test_pigeonhole():
             flips = rng.choice(64, radius, replace=False) // 16
             per = np.bincount(flips, minlength=4)
             assert any(per[p] <= coder.sub_radius(p) for p in range(4))
+
+
+def test_radius_holds_for_vectors_laid_out_by_cluster():
+    """The first cluster is tighter than the others; the radius must not be learned from it alone."""
+    rng = np.random.default_rng(11)
+    blocks = []
+    for c in range(20):
+        centre = rng.normal(size=32)
+        centre /= np.linalg.norm(centre)
+        blocks.append(centre + (0.03 if c == 0 else 0.12) * rng.normal(size=(300, 32)))
+    x = np.concatenate(blocks)
+    coder = ann.fit(x, 20, 64)
+    codes, hits = coder.code(x), 0
+    asked = np.arange(300, len(x), 97)
+    for i in asked:
+        near = [j for j in np.argsort(-(x @ x[i]), kind="stable") if j != i][:20]
+        hits += (np.bitwise_count(codes[near] ^ codes[i]).sum(axis=1) <= coder.radius).sum()
+    assert hits / (20 * len(asked)) > 0.94

@@ -72,9 +72,10 @@ def fit(
     made = Coder(np.concatenate(blocks)[:bits], center, bits)
     if sample.shape[0] < 2:
         return made
-    asked = np.arange(min(queries, sample.shape[0]))
+    # Drawn over the whole sample, which may be laid out by cluster, source or time.
+    asked = rng.choice(sample.shape[0], min(queries, sample.shape[0]), replace=False)
     nearness = sample[asked] @ sample.T
-    nearness[asked, asked] = -np.inf
+    nearness[np.arange(asked.size), asked] = -np.inf
     k = min(k, sample.shape[0] - 1)
     nearest = np.argpartition(-nearness, k - 1, axis=1)[:, :k]
     codes = made.code(sample)
@@ -249,7 +250,7 @@ def nearest(
     )
     n = classes.count()
     share = F.pmod(F.xxhash64("rep"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    sample = classes.filter(share < sample_rows / max(n, 1)).orderBy("rep").toPandas()["vector"]  # bounded sample
+    sample = classes.filter(share < sample_rows / max(n, 1)).orderBy(F.xxhash64("rep"), "rep").toPandas()["vector"]  # bounded sample
     if not len(sample):
         sample = classes.orderBy("rep").limit(1).toPandas()["vector"]
     found_none = "query_id bigint, rank int, vec_id bigint, score double"
