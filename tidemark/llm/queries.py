@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import ann, chat, exact_dedup, langid, mixing, packing, pii, quality, simhash, warc
+from tidemark.llm import ann, chat, exact_dedup, langid, lines, merkle, mixing, packing, pii, quality, simhash, trie, warc
+from tidemark.llm.ranks import ascii_lower
 from tidemark.llm.scratch import small_batches
 from tidemark.session import tune
 
@@ -39,6 +40,15 @@ def remainder(id_col: str, divisor: int):
     return F.crc32(F.encode(text, "UTF-8")) % divisor
 
 
+def _crc(value: str) -> str:
+    """SQL of the unsigned CRC-32 of ``value`` as text, byte by byte and bit by bit."""
+    text = f"cast({value} as varchar)"
+    return f"""xor(list_reduce(list_prepend(4294967295::bigint,
+        list_transform(range(length({text})), lambda i: ascii(substr({text}, i + 1, 1))::bigint)),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))),
+        4294967295)"""
+
+
 @query("op1_quality")
 def op1(read):
     docs = read("documents")
@@ -208,4 +218,163 @@ def op10(read):
     return mixing.mix(read("documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query(
+    "op11_merkle",
+    r"""
+    WITH RECURSIVE leaves AS (
+        SELECT doc_id, source,
+               sha256(concat(
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                   coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'),
+                   coalesce(strlen(text) || ':' || text, '-'))) AS leaf,
+               sha256(concat(
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                   coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'),
+                   coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))) AS lower_leaf
+        FROM documents
+    ),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id, leaf) - 1 AS pos,
+               count(*) OVER (PARTITION BY source) AS n,
+               CASE WHEN __CRC__ % 5 = 0 THEN lower_leaf ELSE leaf END AS now
+        FROM leaves
+    ),
+    low(source, lvl, pos, n, digest) AS (
+        SELECT source, 0, pos, n, leaf FROM placed
+        UNION ALL
+        SELECT source, lvl + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+        FROM low WHERE n > 1 GROUP BY source, lvl, pos // 16, n
+    ),
+    subroots AS (
+        SELECT source, digest, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+        FROM low WHERE n = 1
+    ),
+    high(lvl, pos, n, digest) AS (
+        SELECT 0, pos, n, digest FROM subroots
+        UNION ALL
+        SELECT lvl + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+        FROM high WHERE n > 1 GROUP BY lvl, pos // 16, n
+    ),
+    nodes AS (
+        SELECT source, false AS up, lvl, pos, digest FROM low WHERE n > 1
+        UNION ALL SELECT NULL, true, lvl, pos, digest FROM high WHERE n > 1
+    ),
+    runs AS (
+        SELECT source, up, lvl, pos // 16 AS run, list(digest ORDER BY pos) AS members FROM nodes GROUP BY source, up, lvl, pos // 16
+    ),
+    steps AS (
+        SELECT p.doc_id, p.leaf, p.source,
+               row_number() OVER (PARTITION BY p.doc_id, p.source, p.pos ORDER BY r.up, r.lvl) AS step, p.pos AS leaf_pos,
+               array_to_string(r.members[1:(CASE WHEN r.up THEN s.pos ELSE p.pos END // (16 ** r.lvl)::BIGINT) % 16], '') AS lefts,
+               array_to_string(r.members[(CASE WHEN r.up THEN s.pos ELSE p.pos END // (16 ** r.lvl)::BIGINT) % 16 + 2:], '') AS rights
+        FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source
+        JOIN runs r ON (r.up OR r.source IS NOT DISTINCT FROM p.source)
+             AND r.run = CASE WHEN r.up THEN s.pos ELSE p.pos END // (16 ** (r.lvl + 1))::BIGINT
+    ),
+    proofs AS (
+        SELECT source, leaf_pos, sha256(string_agg(lefts || rights, '' ORDER BY step)) AS proof FROM steps GROUP BY source, leaf_pos
+    ),
+    folds(source, pos, step, digest) AS (
+        SELECT source, pos, 0, now FROM placed
+        UNION ALL
+        SELECT f.source, f.pos, f.step + 1, sha256(concat(s.lefts, f.digest, s.rights))
+        FROM folds f JOIN steps s ON s.source IS NOT DISTINCT FROM f.source AND s.leaf_pos = f.pos AND s.step = f.step + 1
+    ),
+    folded AS (SELECT source, pos, arg_max(digest, step) AS digest FROM folds GROUP BY source, pos)
+    SELECT p.doc_id, p.leaf, s.digest AS subroot, t.digest AS root, coalesce(q.proof, sha256('')) AS proof_sha256,
+           f.digest AS folded_root, f.digest = t.digest AS verified
+    FROM placed p
+    JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source
+    JOIN folded f ON f.source IS NOT DISTINCT FROM p.source AND f.pos = p.pos
+    LEFT JOIN proofs q ON q.source IS NOT DISTINCT FROM p.source AND q.leaf_pos = p.pos
+    CROSS JOIN (SELECT digest FROM high WHERE n = 1) t
+    """.replace("__CRC__", _crc("doc_id")),
+)
+def op11(read):
+    docs = read("documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    proofs = merkle.dataset_proofs(
+        docs, "doc_id", "source", columns, {"text": ascii_lower(F.col("text"))}, remainder("doc_id", 5) == 0
+    )
+    return proofs.withColumnRenamed("id", "doc_id")
+
+
+@query(
+    "op12_line_dedup",
+    r"""
+    WITH lines AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+        FROM documents
+    ),
+    keyed AS (
+        SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM lines
+    ),
+    shared AS (
+        SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 40
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+    ),
+    marked AS (
+        SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.top AS gone FROM keyed k LEFT JOIN shared s USING (key)
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id
+    """,
+)
+def op12(read):
+    kept = lines.drop_lines(read("documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query(
+    "op13_prefix_trie",
+    r"""
+    WITH turns AS (
+        SELECT conv_id AS conv, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key,
+               strlen(coalesce(text, '')) AS size, turn
+        FROM conversations WHERE conv_id IS NOT NULL
+    ),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, key) - 1 AS pos FROM turns),
+    convs AS (SELECT DISTINCT conv, __CRC__ % 9 AS h FROM turns),
+    rebuilt AS (
+        SELECT c.conv, 0 AS part, p.pos, p.key, p.size FROM convs c JOIN placed p ON p.conv = c.conv - c.conv % 5 AND p.pos < c.h
+        UNION ALL
+        SELECT c.conv, 1, p.pos, p.key, p.size FROM convs c JOIN placed p ON p.conv = c.conv AND p.pos >= c.h
+    ),
+    paths AS (
+        SELECT conv, list(key) OVER deep AS path, size, count(*) OVER (PARTITION BY conv) AS n_turns FROM rebuilt
+        WINDOW deep AS (PARTITION BY conv ORDER BY part, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    ),
+    members AS (
+        SELECT conv, path, size, len(path) = n_turns AS here FROM paths
+        UNION ALL
+        SELECT conv, []::VARCHAR[], 0, conv NOT IN (SELECT conv FROM rebuilt) FROM convs
+    ),
+    nodes AS (
+        SELECT path, len(path) AS depth, min(conv) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(size) AS saved,
+               sha256(coalesce(string_agg(conv::VARCHAR, ',' ORDER BY conv) FILTER (here), '')) AS ends_sha256
+        FROM members GROUP BY path
+    ),
+    kids AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+    wide AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (path)),
+    below AS (
+        SELECT path[1:up] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+        FROM (SELECT *, unnest(range(depth + 1)) AS up FROM wide) GROUP BY 1
+    )
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves,
+           b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+    FROM wide n JOIN below b USING (path)
+    LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+    """.replace("__CRC__", _crc("conv")),
+)
+def op13(read):
+    nodes = trie.trie(trie.sequences(read("conversations"), head=remainder("conv", 9)))
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
