@@ -76,5 +76,5 @@ def test_stages_decide_rows_not_ids(spark):
 
 def test_registered():
     names = set(queries.QUERIES)
-    assert "pipeline" in names and {n.split("_")[0] for n in names - {"pipeline"}} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names - {"pipeline"}} == {f"op{i}" for i in range(1, 14)}
     assert langid and corpus_pipeline.ORACLE_SQL is None

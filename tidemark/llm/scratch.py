@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +43,14 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def frame(columns: dict) -> pd.DataFrame:
+    """A result of a pandas function: lists become plain object columns, arrays stay as they are.
+
+    Columns of texts would else be stored as Arrow chunks, which do not always go back to Spark.
+    """
+    return pd.DataFrame({k: pd.Series(v, dtype=object) if isinstance(v, list) else v for k, v in columns.items()})
+
+
 def with_handles(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``docs`` stored with a handle of each row, and the handle's column.
 

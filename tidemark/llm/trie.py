@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.ranks import lookup, positions
-from tidemark.llm.scratch import stored
+from tidemark.llm.scratch import frame, stored
 
 #: A turn's key: 16 bytes of its digest, then the UTF-8 length of its text.
 KEY_BYTES = 24
@@ -157,7 +157,7 @@ def _block(rows: pd.DataFrame) -> pd.DataFrame:
     rows, keys = rows[home], [k for k, h in zip(keys, home) if h]
     n = len(keys)
     if not n:
-        return pd.DataFrame({c.split()[0]: [] for c in _PARTS.split(", ")})
+        return frame({c.split()[0]: [] for c in _PARTS.split(", ")})
     # Common prefix with the row before, in this block or the one before; -1 for the first of all.
     common = np.array([_common(a, b) for a, b in zip(keys, keys[1:])], np.int64)
     first = -1 if earlier is None else _common(earlier, keys[0])
@@ -205,7 +205,7 @@ def _block(rows: pd.DataFrame) -> pd.DataFrame:
     before = np.array([reach[i][max(d - 1, 0)] for i, d in zip(at.tolist(), depth.tolist())], np.int64)
     size = np.array([reach[i][d] for i, d in zip(at.tolist(), depth.tolist())], np.int64) - before
     skipped = before - np.array([reach[i][max(c, 0)] for i, c in zip(left.tolist(), common[left].tolist())], np.int64)
-    return pd.DataFrame(
+    return frame(
         {
             "id": names, "parent": parents, "depth": depth, "n_convs": over(weight), "conv_id": lowest,
             "n_leaves": right - left + 1 - over(extends) + (opens & extends[left]),
