@@ -141,6 +141,11 @@ def gold_clinic_patient_visits_monthly(
     monthly = visits.groupBy("clinic_key", "month_start_date_key").agg(
         F.count_if(is_new).alias("new_visits"), F.count_if(~is_new).alias("returning_visits")
     )
+    return patient_visits_mart(monthly, dim_clinics)
+
+
+def patient_visits_mart(monthly: DataFrame, dim_clinics: DataFrame) -> DataFrame:
+    """The mart's columns from ``clinic_key, month_start_date_key, new_visits, returning_visits``."""
     total = F.col("new_visits") + F.col("returning_visits")
     return monthly.join(_clinic_names(dim_clinics), "clinic_key").select(
         surrogate_key("clinic_key", "month_start_date_key").alias("id"),
