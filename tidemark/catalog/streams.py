@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import cte, query
 from tidemark.session import fresh_path, tune
-from tidemark.sources.messages import alert_json
+from tidemark.sources.messages import alert_json, read_published_files
 from tidemark.streaming import alerts as al
 from tidemark.streaming.cooldown import cooldown_batch
-from tidemark.streaming.job import detect, dispatch
+from tidemark.streaming.alert_state import ROCKSDB, read_alert_state, track_alerts
+from tidemark.streaming.job import detect, dispatch, read_alerts
+from tidemark.streaming.progress import Progress, run_available
 
 NOW = "2024-01-15 12:00:00"
 LENGTH, THRESHOLD = "1 hour", 3
@@ -160,19 +162,6 @@ def _(wh):
 STATE_PARTITIONS = 8
 
 
-def _run_once(df, path: str, fmt: str) -> None:
-    """Process everything available now, then stop."""
-    (
-        df.writeStream.format(fmt)
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", f"{path}-checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-
-
 def _stream_session(spark):
     """A session of its own for streams, so that their settings touch no other query."""
     own = tune(spark.newSession())
@@ -196,7 +185,7 @@ def _stream_alerts(wh) -> tuple:
 
     def run() -> None:
         arriving = stream.readStream.option("maxFilesPerTrigger", 2).text(f"{path}/in")
-        _run_once(detect(arriving, THRESHOLD, LENGTH, lateness=span, now=_now()), f"{path}/alerts", "text")
+        run_available(detect(arriving, THRESHOLD, LENGTH, lateness=span, now=_now()), f"{path}/alerts", "text")
 
     run()
     closing = '{"op":"c","ts_ms":4102444800000,"after":{"id":0}}'
@@ -205,15 +194,122 @@ def _stream_alerts(wh) -> tuple:
     return spark, path, span
 
 
+# Messages come with the time a queue published them, in deliveries of a week each.  Some come
+# one or two deliveries late; windows go by publish time and close ``LATENESS`` after it.
+LATENESS_DAYS, DELIVERY_DAYS = 2, 7
+cte(
+    "published",
+    f"""
+    select event_id, date_trunc('millisecond', ts) + event_id % 90 * interval 1 minute as sent,
+           greatest(0, least(4, date_diff('day', (select min(ts)::date from events), ts::date) // {DELIVERY_DAYS}))
+             + case event_id % 10 when 3 then 1 when 7 then 2 else 0 end as delivery
+    from events
+    where event_id % 17 <> 0 and event_type not in ('error', 'view') and event_id % 19 <> 0
+      and (event_id % 13 <> 0 or event_id % 11 = 0)""",
+)
+cte(
+    "judged",
+    f"""
+    select p.*, date_trunc('hour', sent) as hour,
+           coalesce(date_trunc('hour', sent) + interval 1 hour
+                    <= (select max(q.sent) from published q where q.delivery < p.delivery) - interval {LATENESS_DAYS} day,
+                    false) as late
+    from published p""",
+)
+
+
+def _late_stream(wh) -> tuple:
+    """Deliveries through the detector, one run each on one checkpoint, and a closing message."""
+    messages, events = wh["messages"], wh["events"]
+    spark, path = messages.sparkSession, fresh_path(messages.sparkSession, "late")
+    first = events.agg(F.to_date(F.min("ts")).alias("d")).first().d
+    n = F.col("event_id")
+    minutes = F.make_interval(mins=(n % 90).cast("int"))
+    week = F.floor(F.datediff(F.to_date("ts"), F.lit(first)) / DELIVERY_DAYS)
+    shift = F.when(n % 10 == 3, 1).when(n % 10 == 7, 2).otherwise(0)
+    delivery = F.greatest(F.lit(0), F.least(F.lit(4), week)) + shift
+    timed = events.select("event_id", (F.date_trunc("millisecond", "ts").cast("timestamp") + minutes).alias("publish_time"), delivery.cast("int").alias("delivery"))
+    arriving = messages.select("event_id", "value").join(timed, "event_id").select("value", "publish_time", "delivery")
+    arriving.write.partitionBy("delivery").parquet(f"{path}/all")
+    closing = '{"op":"c","ts_ms":4102444800000,"after":{"id":0}}'
+    end = F.lit("2100-01-01").cast("timestamp")
+    last = spark.range(1).select(F.lit(closing).alias("value"), end.alias("publish_time"))
+    stream, progress = _stream_session(spark), Progress()
+    for i in range(8):
+        one = last if i == 7 else spark.read.parquet(f"{path}/all").filter(F.col("delivery") == i).drop("delivery")
+        one.write.mode("append").parquet(f"{path}/in")
+        found = detect(
+            read_published_files(stream, f"{path}/in"), THRESHOLD, LENGTH, f"{LATENESS_DAYS} days", now=_now(), time="publish_time"
+        )
+        run_available(found, f"{path}/alerts", "text", progress)
+    return read_alerts(spark.read.text(f"{path}/alerts")), progress
+
+
 @query(
     "n07_stream_alerts_late_data",
-    "select window_start::varchar as window_start, total_events from hour_alerts",
+    f"""select hour::varchar as window_start, count(*) as total_events from judged where not late
+        group by hour having count(*) >= {THRESHOLD}""",
+)
+def _(wh):
+    """Windows by publish time, without the messages that came after their window had closed."""
+    found, _ = _late_stream(wh)
+    return found.select("window_start", "total_events")
+
+
+@query(
+    "n07_late_dropped",
+    """select count(*) as events_seen, count(*) filter (not late) as events_counted,
+              count(*) filter (late) as events_late, count(*) filter (late) > 0 as state_rejected from judged""",
 )
 def _(wh):
-    spark, path, _ = _stream_alerts(wh)
-    from tidemark.streaming.job import read_alerts
+    """Late messages as the query's progress reports them; the closing one is left out."""
+    found, progress = _late_stream(wh)
+    spark = found.sparkSession
+    seen, late = progress.observed["events_seen"] - 1, progress.late_events - 1
+    return spark.range(1).select(
+        F.lit(seen).cast("long").alias("events_seen"), F.lit(seen - late).cast("long").alias("events_counted"),
+        F.lit(late).cast("long").alias("events_late"), F.lit(progress.late_state_rows > 0).alias("state_rejected"),
+    )
+
 
-    return read_alerts(spark.read.text(f"{path}/alerts")).select("window_start", "total_events")
+@query(
+    "n05_alert_state",
+    f"""
+    with recursive chain as (
+      select alert_key, t from sent_chain
+      union
+      select c.alert_key, (select min(u.event_time) from user_alerts u where u.alert_key = c.alert_key
+                             and u.event_time >= c.t + interval {_COOLDOWN} second) as t
+      from chain c where t is not null)
+    select u.alert_key, max(u.event_time)::varchar as last_event_time,
+           (select max(c.t) from chain c where c.alert_key = u.alert_key)::varchar as last_sent_at,
+           arg_max(case when u.total_events >= 2 then 'critical' else 'warning' end, u.event_time) as severity,
+           arg_max(u.total_events, u.event_time) as last_total_events, count(*) as alerts_seen,
+           count(*) - (select count(c.t) from chain c where c.alert_key = u.alert_key) as alerts_suppressed
+    from user_alerts u group by u.alert_key""",
+)
+def _(wh):
+    """Two runs on one checkpoint, then the state of every key read back from it."""
+    events = wh["events"]
+    spark, path = events.sparkSession, fresh_path(events.sparkSession, "alert-state")
+    window = F.window(F.col("ts").cast("timestamp"), "10 minutes")["start"]
+    alerts = events.groupBy(F.concat(F.lit("u"), "user_id").alias("alert_key"), window.alias("event_time")).agg(
+        F.count(F.lit(1)).alias("total_events")
+    )
+    alerts = alerts.withColumn("severity", F.when(F.col("total_events") >= 2, "critical").otherwise("warning"))
+    alerts.withColumn("run", F.when(F.dayofmonth("event_time") <= 15, 1).otherwise(2)).write.partitionBy("run").parquet(f"{path}/all")
+    stream = _stream_session(spark)
+    stream.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for run in (1, 2):
+        spark.read.parquet(f"{path}/all").filter(F.col("run") == run).drop("run").write.mode("append").parquet(f"{path}/in")
+        arriving = stream.readStream.schema(alerts.schema).parquet(f"{path}/in").withWatermark("event_time", "40 days")
+        run_available(track_alerts(arriving, cooldown=_COOLDOWN), f"{path}/history", "parquet")
+    state = read_alert_state(stream, f"{path}/history-checkpoint")
+    return state.select(
+        "alert_key", "last_event_time", "last_sent_at", "severity",
+        F.get_json_object("last_payload", "$.total_events").cast("long").alias("last_total_events"),
+        "alerts_seen", "alerts_suppressed",
+    )
 
 
 cte("first_sent", "select min(window_start) as t from hour_alerts")
@@ -235,7 +331,7 @@ cte("first_sent", "select min(window_start) as t from hour_alerts")
 def _(wh):
     spark, path, span = _stream_alerts(wh)
     raw = _stream_session(spark).readStream.text(f"{path}/alerts")
-    _run_once(dispatch(raw, seconds=4 * 3600, lateness=span), f"{path}/history", "parquet")
+    run_available(dispatch(raw, seconds=4 * 3600, lateness=span), f"{path}/history", "parquet")
     return spark.read.parquet(f"{path}/history").select(
         "alert_id", "alert_key", "alert_type", "source_table", "event_time", "emitted"
     )

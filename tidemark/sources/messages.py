@@ -17,6 +17,14 @@ def read_message_files(spark: SparkSession, path: str, max_files: int = 100) ->
     return spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
 
 
+def read_published_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Parquet files of ``value, publish_time`` as a stream: messages as a queue published them."""
+    reader = spark.readStream.schema("value string, publish_time timestamp")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)
+
+
 def read_kafka(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
     """Message queue as a stream of ``value`` texts with the broker time as ``publish_time``."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
