@@ -493,7 +493,28 @@ def test_breaches_sustained_and_against_another_metric(spark):
                    ("r", "l", at(0), 0.1), ("r", "l", at(10), 0.9), ("r", "l", at(20), 0.9),
                    ("r", "l", at(30), 0.9), ("a", "l", at(0), 5.0), ("b", "l", at(0), 4.0), ("a", "q", at(0), 5.0))
     got = rows(mon.breaches(series, limits).select("metric", "labels", F.minute("ts"), "bound"))
-    assert got == [("a", "l", 0, 4.0), ("r", "l", 20, 0.5), ("r", "l", 30, 0.5)]
+    # Beyond the limit since minute 10: for 10 minutes at 20, for 20 at 30.
+    assert got == [("a", "l", 0, 4.0), ("r", "l", 30, 0.5)]
+    one = series.filter("metric = 'r'").drop("ts")
+    assert mon.breaches(one, limits).count() == 0  # one point cannot have held
+    assert rows(mon.breaches(series, limits, span_minutes=10).filter("metric = 'r'").select(F.minute("ts"))) == [(20,), (30,)]
+
+
+def test_breaches_start_anew_after_a_good_point_or_a_gap(spark):
+    from tidemark.plans import monitor as mon
+
+    t0 = dt.datetime(2024, 1, 1)
+    values = {0: 9, 10: 9, 20: 9, 30: 1, 40: 9, 50: 9, 60: 9, 200: 9, 210: 9, 220: None, 230: 9}
+    series = frame(spark, "metric string, labels string, ts timestamp, value double",
+                   *[("r", "l", t0 + dt.timedelta(minutes=m), None if v is None else float(v)) for m, v in values.items()])
+    limits = [mon.Limit("r", ">", 5, minutes=20), mon.Limit("r", ">", 5, "critical", minutes=170)]
+
+    def fired(**more):
+        found = mon.breaches(series, limits, **more).select("severity", ((F.unix_seconds("ts") - F.unix_seconds(F.lit(t0))) / 60).cast("int"))
+        return sorted(tuple(r) for r in found.collect())
+
+    assert fired() == [("critical", 210)] + [("warning", m) for m in (20, 60, 200, 210)]
+    assert fired(max_gap_minutes=60) == [("warning", 20), ("warning", 60)]
 
 
 # --- bounds --------------------------------------------------------------------------------

@@ -400,9 +400,6 @@ def _(wh):
     "m14_threshold_breaches",
     """select s.*, op, bound, severity, minutes from series_rows s join (values
          ('ops/watermark/mins_since_update', '>', 180.0::double, 'warning', 0::bigint),
-         ('ops/jobs/failed_ratio', '>', 0.05, 'warning', 15),
-         ('ops/scheduler/success_ratio', '<', 0.95, 'warning', 30),
-         ('ops/stream/error_events', '>', 0, 'warning', 15),
          ('ops/silver/freshness_lag_minutes', '>', 120, 'warning', 0),
          ('ops/dag/restore_buffer_minutes', '<', 0, 'critical', 0)) l(metric, op, bound, severity, minutes)
          using (metric)
@@ -413,19 +410,29 @@ def _(wh):
        from slo_rows where recovery_time_minutes > restore_window_minutes""",
 )
 def _(wh):
+    """The newest points alone: limits that must hold for a time cannot be told from them."""
     return mon.breaches(_series(wh))
 
 
+def _held_sql(points: str, span: int) -> str:
+    """Points beyond their limit since at least its minutes, by the start of the run they are in."""
+    return f"""
+       with points as ({points}),
+       judged as (select *, case when op = '>' then value > bound else value < bound end as over from points),
+       runs as (select *, count(*) filter (not over) over (partition by metric, labels, minutes order by ts) as run from judged),
+       held as (select *, min(ts) filter (over) over (partition by metric, labels, minutes, run) as since from runs)
+       select metric, labels, ts::varchar as ts, value, op, bound, severity, minutes from held
+       where over and ts + {span} * interval 1 minute >= since + minutes * interval 1 minute"""
+
+
 @query(
     "m14_sustained_breaches",
-    """with points as (
-         select 'ops/jobs/failed_ratio' as metric, event_type as labels, date_trunc('minute', ts) as ts,
-                count(*) filter (where value > 20) / count(*) as value from events group by all)
-       select metric, labels, ts::varchar as ts, value, '>' as op, 0.05::double as bound, 'warning' as severity,
-              15::bigint as minutes
-       from (select *, min(value) over (partition by labels order by ts range between
-                    interval 15 minute preceding and current row) as low from points)
-       where low > 0.05""",
+    _held_sql(
+        """select 'ops/jobs/failed_ratio' as metric, event_type as labels, date_trunc('minute', ts) as ts,
+                  count(*) filter (where value > 20) / count(*) as value, '>' as op, 0.05::double as bound,
+                  'warning' as severity, 15::bigint as minutes from events group by all""",
+        0,
+    ),
 )
 def _(wh):
     minute = F.date_trunc("minute", F.col("ts").cast("timestamp"))
@@ -434,3 +441,41 @@ def _(wh):
     )
     series = points.select(F.lit("ops/jobs/failed_ratio").alias("metric"), "labels", "ts", "value")
     return mon.breaches(series)
+
+
+#: Limits on hourly monitors: held for two, three and six hours.
+HOURLY_LIMITS = (
+    mon.Limit("ops/jobs/failed_ratio", ">", 0.05, minutes=120),
+    mon.Limit("ops/scheduler/success_ratio", "<", 0.6, minutes=180),
+    mon.Limit("ops/stream/error_events", ">", 0, minutes=360),
+)
+
+
+@query(
+    "m14_held_breaches",
+    _held_sql(
+        """select 'ops/jobs/failed_ratio' as metric, '{"scope":"all"}' as labels, hour_bucket as ts, failed_ratio::double as value,
+                  '>' as op, 0.05::double as bound, 'warning' as severity, 120::bigint as minutes from job_hours
+           union all
+           select 'ops/scheduler/success_ratio', '{"job_id":"' || job_id || '","scheduler_location":"' || scheduler_location || '"}',
+                  h, coalesce(success_ratio, 0)::double, '<', 0.6, 'warning', 180 from scheduler_hours
+           union all
+           select 'ops/stream/error_events', '{"stream_id":"' || stream_id || '"}', h, coalesce(error_events, 0)::double,
+                  '>', 0, 'warning', 360 from stream_hours""",
+        60,
+    ),
+)
+def _(wh):
+    """Real monitor rows of all hours: a breach shorter than its limit does not fire."""
+    jobs = wh["warehouse_jobs"].withColumns(
+        {c: F.col(c).cast("timestamp") for c in ("creation_time", "end_time")}
+    )
+    logs, now = _logs(wh), _now()
+    history = mon.series_history(
+        {
+            "job_health": mon.job_health(jobs, now, ALL_HOURS).withColumn("scope", F.lit("all")),
+            "scheduler_health": mon.scheduler_health(logs, now, ALL_HOURS),
+            "stream_health": mon.stream_health(logs, now, ALL_HOURS),
+        }
+    )
+    return mon.breaches(history, HOURLY_LIMITS, span_minutes=60)

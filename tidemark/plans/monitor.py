@@ -50,6 +50,14 @@ def _lower_text(c: str = "text_payload") -> Column:
     return F.lower(F.coalesce(F.col(c), F.lit("")))
 
 
+def _p95(name: str) -> Column:
+    """Exact p95 of a column of whole units: what is merged are counts of its different values.
+
+    For finer values over long windows see ``operators.sketches``.
+    """
+    return F.expr(f"cast(percentile_disc(0.95) within group (order by {name}) as long)")
+
+
 def watermark_health(watermarks: DataFrame, now: Column) -> DataFrame:
     now_ts = now.cast("timestamp")
     return watermarks.select(
@@ -156,6 +164,7 @@ def job_health(jobs: DataFrame, now: Column, hours: int | None = 24) -> DataFram
     took = seconds_between(F.col("creation_time"), F.col("end_time"))
     return (
         jobs.filter(_within("creation_time", now, hours) & relevant)
+        .withColumn("__took", took)
         .groupBy(_hour("creation_time").alias("hour_bucket"))
         .agg(
             _total("jobs_total"),
@@ -163,7 +172,7 @@ def job_health(jobs: DataFrame, now: Column, hours: int | None = 24) -> DataFram
             F.try_divide(F.count_if(failed), F.count(F.lit(1))).alias("failed_ratio"),
             F.sum("total_bytes_processed").alias("bytes_processed"),
             F.sum("total_slot_ms").alias("slot_ms"),
-            F.percentile_approx(took, 0.95).alias("p95_duration_sec"),
+            _p95("__took").alias("p95_duration_sec"),
         )
     )
 
@@ -334,17 +343,16 @@ def critical_slo(
     p95 = (
         won.filter(_within("start_ts", now, 24 * slo_days))
         .groupBy("dag_id")
-        .agg((F.percentile_approx("duration_sec", 0.95) / 60.0).alias("critical_p95_minutes"))
+        .agg((F.expr("percentile_disc(0.95) within group (order by duration_sec)") / 60.0).alias("critical_p95_minutes"))
     )
     lost = recent.filter((F.col("status") == "failed") & _within("end_ts", now, 24 * slo_days))
     healed = next_time_after(
         lost.select("dag_id", "end_ts"), won.select("dag_id", "start_ts"),
         "dag_id", "end_ts", "start_ts", "next_success",
     ).filter("next_success is not null")
-    recovery = healed.groupBy("dag_id").agg(
-        F.percentile_approx(minutes_between(F.col("end_ts"), F.col("next_success")), 0.95).alias(
-            "recovery_time_minutes"
-        )
+    took = minutes_between(F.col("end_ts"), F.col("next_success"))
+    recovery = healed.withColumn("__took", took).groupBy("dag_id").agg(
+        _p95("__took").alias("recovery_time_minutes")
     )
     return policy.join(p95, "dag_id", "left").join(recovery, "dag_id", "left").select(
         local_date(now).alias("monitor_date_local"),
@@ -425,13 +433,15 @@ def metric_series(
     labels: Mapping[str, str],
     latest_by: Sequence[str] = (),
     order: Sequence[str] = (),
+    time: str | None = None,
 ) -> DataFrame:
     """Wide monitor rows -> (metric, labels, value), newest partition only.
 
     Labels are cut to 100 characters and dropped when blank; a missing or null value is 0.
-    Of several points with one (metric, labels) the last by ``order`` stays.
+    Of several points with one (metric, labels) the last by ``order`` stays.  With ``time`` every
+    partition stays, and its time is the points' ``ts``.
     """
-    rows = latest_partition(df, latest_by) if latest_by else df
+    rows = latest_partition(df, latest_by) if latest_by and time is None else df
 
     def value(m: Metric) -> Column:
         have = [F.col(c).cast("double") for c in m.columns if c in df.columns]
@@ -447,11 +457,13 @@ def metric_series(
     )
     points = F.array(*[F.struct(F.lit(m.name).alias("metric"), value(m).alias("value")) for m in metrics])
     ordering = [F.col(c).desc_nulls_last() for c in order if c in df.columns]
+    at = [] if time is None else [F.col(time).cast("timestamp").alias("ts")]
     flat = rows.withColumn("labels", F.to_json(tags)).select(
-        "labels", *[c for c in order if c in df.columns], F.inline(points)
+        "labels", *at, *[c for c in order if c in df.columns], F.inline(points)
     )
-    last = keep_first(flat, ["metric", "labels"], [*ordering, F.col("value").desc()])
-    return last.select("metric", "labels", "value")
+    key = ["metric", "labels", *(["ts"] if at else [])]
+    last = keep_first(flat, key, [*ordering, F.col("value").desc()])
+    return last.select(*key, "value")
 
 
 @dataclass(frozen=True)
@@ -467,16 +479,22 @@ class MetricSet:
     latest: Sequence[str] = ("hour_bucket", "monitor_ts_utc", "monitor_date_local")
     summed: bool = False
 
-    def series(self, df: DataFrame) -> DataFrame:
+    def series(self, df: DataFrame, history: bool = False) -> DataFrame:
+        """Points of the newest partition; with ``history`` those of all, with their ``ts``."""
+        time = next((c for c in self.latest if c in df.columns), None) if history else None
+        if history and time is None:
+            raise ValueError(f"{self.prefix}: none of {list(self.latest)} tells the time of a row")
         if self.summed:
-            newest = latest_partition(df, self.latest)
+            newest = df if history else latest_partition(df, self.latest)
             columns = [c for names in self.metrics.values() for c in names if c in df.columns]
-            df = newest.groupBy(*self.labels).agg(*[F.sum(c).alias(c) for c in columns])
+            by = [*self.labels, *([time] if time else [])]
+            df = newest.groupBy(*by).agg(*[F.sum(c).alias(c) for c in columns])
         return metric_series(
             df,
             [Metric(f"{self.prefix}/{name}", columns) for name, columns in self.metrics.items()],
             {label: label for label in self.labels},
             () if self.summed else self.latest,
+            time=time,
         )
 
 
@@ -576,37 +594,55 @@ LIMITS = (
 )
 
 
-def breaches(series: DataFrame, limits: Sequence[Limit] = LIMITS) -> DataFrame:
+def series_history(monitors: Mapping[str, DataFrame]) -> DataFrame | None:
+    """All points of the monitors with their time ``ts``, what limits that hold for a time need."""
+    parts = [kind.series(monitors[name], history=True) for name, kind in METRIC_SETS.items() if name in monitors]
+    return union_all(parts)
+
+
+def breaches(
+    series: DataFrame, limits: Sequence[Limit] = LIMITS, span_minutes: int = 0, max_gap_minutes: int | None = None
+) -> DataFrame:
     """Points beyond their limit.
 
-    With ``minutes`` and a ``ts`` column every point of the last minutes has to be beyond
-    it, checked by a range window per series.
+    A limit with ``minutes`` needs the time ``ts`` of each point: a point is a breach if its series
+    has been beyond the limit without a break for so long, from the first such point to this one.
+    A point that stands for a period, such as an hour, adds ``span_minutes``.  A gap of more than
+    ``max_gap_minutes`` between points is a break too.  Without times nothing is known to have
+    held, so only limits without ``minutes`` are judged.
     """
+    timed = "ts" in series.columns
+    judged_limits = [x for x in limits if timed or not x.minutes]
     table = series.sparkSession.createDataFrame(
-        [(x.metric, x.op, None if x.bound is None else float(x.bound), x.severity, x.minutes, x.other) for x in limits],
+        [(x.metric, x.op, None if x.bound is None else float(x.bound), x.severity, x.minutes, x.other) for x in judged_limits],
         "metric string, op string, __bound double, severity string, minutes int, __other string",
     )
-    same = ["labels"] + (["ts"] if "ts" in series.columns else [])
+    same = ["labels", *(["ts"] if timed else [])]
     others = series.select(*same, F.col("metric").alias("__other"), F.col("value").alias("__value"))
     # A fixed list of a few limits.
     joined = (
         series.join(F.broadcast(table), "metric")
-        .join(others.filter(F.col("__other").isin([x.other for x in limits if x.other])), [*same, "__other"], "left")
+        .join(others.filter(F.col("__other").isin([x.other for x in judged_limits if x.other])), [*same, "__other"], "left")
         .withColumn("bound", F.coalesce("__bound", "__value"))
         .select(*series.columns, "op", "bound", "severity", "minutes")
     )
-    over = F.when(F.col("op") == ">", F.col("value") > F.col("bound")).otherwise(
-        F.col("value") < F.col("bound")
+    over = F.coalesce(
+        F.when(F.col("op") == ">", F.col("value") > F.col("bound")).otherwise(F.col("value") < F.col("bound")), F.lit(False)
+    )
+    if not timed:
+        return joined.filter(over)
+    key = ["metric", "labels", "op", "severity", "minutes"]
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    along = Window.partitionBy(*key).orderBy("__at")
+    before = F.lag("__at").over(along)
+    broken = ~F.col("__over")
+    if max_gap_minutes is not None:
+        broken = broken | F.coalesce(F.col("__at") - before > 60 * max_gap_minutes, F.lit(False))
+    # Points between two breaks are one run; a break by a gap begins a run itself.
+    runs = joined.withColumns({"__at": at, "__over": over}).withColumn("__broken", broken)
+    runs = runs.withColumn("__run", F.count_if("__broken").over(along))
+    since = F.min(F.when(F.col("__over"), F.col("__at"))).over(Window.partitionBy(*key, "__run"))
+    held = F.col("__at") - since + 60 * span_minutes >= 60 * F.col("minutes")
+    return runs.withColumn("__held", held).filter("__over and __held").select(
+        *series.columns, "op", "bound", "severity", "minutes"
     )
-    judged = joined.withColumn("__over", over)
-    if "ts" in series.columns:
-        held = F.lit(False)
-        at = F.unix_seconds(F.col("ts").cast("timestamp"))
-        for minutes in sorted({x.minutes for x in limits}):
-            window = (
-                Window.partitionBy("metric", "labels").orderBy(at).rangeBetween(-60 * minutes, 0)
-            )
-            all_over = F.min(F.col("__over").cast("int")).over(window) == 1
-            held = F.when(F.col("minutes") == minutes, all_over).otherwise(held)
-        judged = judged.withColumn("__over", held)
-    return judged.filter("__over").drop("__over")
