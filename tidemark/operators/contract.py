@@ -146,7 +146,10 @@ def reject_reason(df: DataFrame, contract: Contract) -> Column:
 
 
 def split_ok_bad(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    flagged = df.withColumn("reject_reason", reject_reason(df, contract))
+    return split_by_reason(df.withColumn("reject_reason", reject_reason(df, contract)))
+
+
+def split_by_reason(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     ok = flagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     return ok, flagged.filter(F.col("reject_reason").isNotNull())
 
@@ -163,13 +166,24 @@ def dedupe_by_pk(
     )
 
 
+def judge_snapshot(raw: DataFrame, contract: Contract, commit_ts: Column) -> DataFrame:
+    """Raw text rows -> typed rows with ``reject_reason``, null for good ones."""
+    typed = cast_by_contract(ensure_columns(trim_strings_by_contract(raw, contract), contract), contract)
+    rows = system_columns(soft_delete_flag(typed), commit_ts)
+    return rows.withColumn("reject_reason", reject_reason(rows, contract))
+
+
+def split_snapshot(judged: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """Judged rows -> (deduplicated good rows; rejected rows with reason)."""
+    ok, bad = split_by_reason(judged)
+    return dedupe_by_pk(ok, contract.primary_key), bad
+
+
 def stage_snapshot(
     raw: DataFrame, contract: Contract, commit_ts: Column
 ) -> tuple[DataFrame, DataFrame]:
     """Raw text rows -> (typed, validated, deduplicated rows; rejected rows with reason)."""
-    typed = cast_by_contract(ensure_columns(trim_strings_by_contract(raw, contract), contract), contract)
-    ok, bad = split_ok_bad(system_columns(soft_delete_flag(typed), commit_ts), contract)
-    return dedupe_by_pk(ok, contract.primary_key), bad
+    return split_snapshot(judge_snapshot(raw, contract, commit_ts), contract)
 
 
 # Type names of change-event contracts; anything else is passed to the cast as it is.

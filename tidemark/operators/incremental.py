@@ -56,12 +56,23 @@ def month_lower_bound(high: int | None, months: int = 1, legacy_key_math: bool =
 def since_timestamp(source_ts: Column, high: int | None, days: int = 31) -> Column:
     """Fact filter: source time on or after the target's newest day minus ``days``.
 
-    The bound is a literal, so it is pushed into the file scan.
+    The bound is a literal; it reaches the file scan if the time is a stored timestamp.  Where it
+    is made of text, put ``since_text`` on the text beside it.
     """
     day = _as_date(high if high is not None else FLOOR_KEY) - dt.timedelta(days=days)
     return source_ts >= F.lit(day.isoformat()).cast("timestamp")
 
 
+def since_text(text: Column, high: int | None, days: int = 31) -> Column:
+    """What ``since_timestamp`` may keep, told from the text of the time, which a scan can prune by.
+
+    ISO texts order like their times; one more day covers zone offsets.  Texts that begin with no
+    digit are kept for the exact filter to judge, and years are taken to have four digits.
+    """
+    day = _as_date(high if high is not None else FLOOR_KEY) - dt.timedelta(days=days + 1)
+    return (text >= day.isoformat()) | (text < "0")
+
+
 def lookback_days(
     rows: DataFrame, key: str, target: DataFrame, target_key: str, days: int = 31,
     legacy_key_math: bool = False,

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_timestamp, date_key, iso_date_in, seconds_between, sentinel
 from tidemark.functions.jsonish import json_amount, json_array_sum
-from tidemark.functions.keys import NUMERIC, numeric
-from tidemark.operators.incremental import since_timestamp
+from tidemark.functions.keys import NUMERIC, numeric, surrogate_key
+from tidemark.operators.incremental import since_text, since_timestamp
 from tidemark.operators.rows import keep_first, not_null_checks, one_per_key, split_valid, tie_break
 from tidemark.plans.models import model
 
@@ -38,10 +38,15 @@ def _newest(df: DataFrame, key: str, *stamps: str) -> DataFrame:
 
 
 def _recent(df: DataFrame, stamp: str, since: int | None) -> DataFrame:
-    """Incremental runs read only from 31 days before the newest day already stored."""
+    """Incremental runs take only what is from 31 days before the newest day already stored."""
     return df if since is None else df.filter(since_timestamp(F.col(stamp), since))
 
 
+def _read_recent(raw: DataFrame, since: int | None, text: str = "created_at") -> DataFrame:
+    """The same bound on the source's own text column, where it reaches the scan."""
+    return raw if since is None else raw.filter(since_text(F.col(text), since))
+
+
 def _with_clinic(df: DataFrame, dim_clinics: DataFrame, column: str = "clinic_id") -> DataFrame:
     """``clinic_key`` looked up by the clinic's administrator id."""
     side = one_per_key(dim_clinics, ["admin_user_id"], "clinic_key")
@@ -158,11 +163,12 @@ def fact_inventory_import(
     dim_date: DataFrame,
     dim_clinics: DataFrame,
     dim_medicines: DataFrame,
-    dim_medicines_lot: DataFrame,
     *,
     since: int | None = None,
 ) -> DataFrame:
-    src = medicine_import_details.filter(F.lower("status") == "active").select(
+    """Active imports.  Every import is a lot of ``dim_medicines_lot``, whose key is made of the
+    import's id, so the key is computed and the lots are not read again."""
+    src = _read_recent(medicine_import_details, since).filter(F.lower("status") == "active").select(
         F.col("id").try_cast("long").alias("medicine_import_detail_id"),
         F.col("clinic_id").try_cast("long").alias("clinic_id"),
         F.col("medicine_id").try_cast("long").alias("medicine_id"),
@@ -171,8 +177,7 @@ def fact_inventory_import(
         numeric("import_price").alias("import_price"),
     )
     newest = _newest(_recent(src, "created_ts", since), "medicine_import_detail_id", "created_ts")
-    # The lot lookup comes first: it shares the partitioning of the dedupe.
-    joined = _with_lot(newest, dim_medicines_lot)
+    joined = newest.withColumn("lot_key", surrogate_key("medicine_import_detail_id"))
     joined = _with_medicine(_with_clinic(_with_day(joined, dim_date, "created_ts"), dim_clinics), dim_medicines)
     return joined.select(
         F.col("medicine_import_detail_id").cast("string").alias("import_fact_id"),
@@ -200,6 +205,19 @@ def fact_inventory_import_invalid(fact_inventory_import: DataFrame) -> DataFrame
     return split_valid(fact_inventory_import, _import_checks())[1]
 
 
+def _export_lines(prescription_medicine_details: DataFrame, since: int | None = None) -> DataFrame:
+    """Typed prescription lines, the newest of each id."""
+    src = prescription_medicine_details.select(
+        F.col("id").try_cast("long").alias("prescription_medicine_detail_id"),
+        F.col("clinic_id").try_cast("long").alias("clinic_id"),
+        F.col("medicine_import_detail_id").try_cast("long").alias("medicine_import_detail_id"),
+        F.col("prescription_medicine_id").try_cast("long").alias("prescription_medicine_id"),
+        F.col("quantity").try_cast("long").alias("quantity_exported"),
+        as_timestamp("created_at").alias("created_ts"),
+    )
+    return _newest(_recent(src, "created_ts", since), "prescription_medicine_detail_id", "created_ts")
+
+
 @model(PLATINUM, unique_key=("export_fact_id",), **_INVENTORY)
 def fact_inventory_export(
     prescription_medicine_details: DataFrame,
@@ -211,17 +229,7 @@ def fact_inventory_export(
     *,
     since: int | None = None,
 ) -> DataFrame:
-    src = prescription_medicine_details.select(
-        F.col("id").try_cast("long").alias("prescription_medicine_detail_id"),
-        F.col("clinic_id").try_cast("long").alias("clinic_id"),
-        F.col("medicine_import_detail_id").try_cast("long").alias("medicine_import_detail_id"),
-        F.col("prescription_medicine_id").try_cast("long").alias("prescription_medicine_id"),
-        F.col("quantity").try_cast("long").alias("quantity_exported"),
-        as_timestamp("created_at").alias("created_ts"),
-    )
-    newest = _newest(
-        _recent(src, "created_ts", since), "prescription_medicine_detail_id", "created_ts"
-    )
+    newest = _export_lines(_read_recent(prescription_medicine_details, since), since)
     lines = one_per_key(
         prescription_medicines.select(
             F.col("id").try_cast("long").alias("prescription_medicine_id"),
@@ -259,14 +267,17 @@ def fact_inventory_export_invalid(fact_inventory_export: DataFrame) -> DataFrame
 @model(PLATINUM)
 def fact_inventory_snapshot(
     medicine_import_details: DataFrame,
-    fact_inventory_export: DataFrame,
+    prescription_medicine_details: DataFrame,
     dim_clinics: DataFrame,
     dim_medicines: DataFrame,
-    dim_medicines_lot: DataFrame,
     *,
     as_of: dt.date,
 ) -> DataFrame:
-    """Imported minus exported per lot on ``as_of``; lots without stock are left out."""
+    """Imported minus exported per lot on ``as_of``; lots without stock are left out.
+
+    An import is a lot, and its exports name it, so the typed lines are summed by import and meet
+    it once; the export fact's lookups have no part in it.
+    """
     imports = medicine_import_details.filter(F.lower("status") == "active").select(
         F.col("id").try_cast("long").alias("medicine_import_detail_id"),
         F.col("clinic_id").try_cast("long").alias("clinic_id"),
@@ -280,12 +291,12 @@ def fact_inventory_snapshot(
         ["medicine_import_detail_id"],
         tie_break(imports, ["medicine_import_detail_id"]),
     )
-    # The lot key is a function of the import id, so exports are summed per lot key and
-    # meet the lot once, after the sum.
-    sold = fact_inventory_export.filter("lot_key is not null").groupBy("lot_key").agg(
+    sold = _export_lines(prescription_medicine_details).groupBy("medicine_import_detail_id").agg(
         F.sum("quantity_exported").alias("total_exported")
     )
-    joined = _with_lot(one, dim_medicines_lot).join(sold, "lot_key", "left")
+    joined = one.join(sold, "medicine_import_detail_id", "left").withColumn(
+        "lot_key", surrogate_key("medicine_import_detail_id")
+    )
     left = F.col("quantity_imported") - F.coalesce(F.col("total_exported"), F.lit(0))
     joined = joined.withColumn("current_quantity", left).filter("current_quantity > 0")
     joined = _with_medicine(_with_clinic(joined, dim_clinics), dim_medicines)
@@ -343,7 +354,7 @@ def fact_operational_clinic_bookings(
     *,
     since: int | None = None,
 ) -> DataFrame:
-    src = clinic_bookings.select(
+    src = _read_recent(clinic_bookings, since).select(
         F.col("id").try_cast("long").alias("booking_id"),
         *[F.col(c).try_cast("long").alias(c) for c in ("clinic_id", "doctor_id", "patient_id")],
         as_timestamp("created_at").alias("created_ts"),
@@ -483,7 +494,7 @@ def fact_prescription(
     *,
     since: int | None = None,
 ) -> DataFrame:
-    src = prescriptions.select(
+    src = _read_recent(prescriptions, since).select(
         F.col("id").try_cast("long").alias("prescription_id"),
         F.col("clinic_id").try_cast("long").alias("clinic_id"),
         F.col("doctor_id").try_cast("long").alias("doctor_id"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from hashlib import md5
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,9 @@ from tidemark.operators import contract as ct
 from tidemark.operators import incremental as inc
 from tidemark.operators import merge as mg
 from tidemark.operators import quality as dq
-from tidemark.plans.models import MODELS, Warehouse
+from tidemark.operators.keyed import KeyedTable, database
+from tidemark.plans.models import MODELS, Model, Warehouse, build_waves
+from tidemark.session import reliable_checkpoint
 from tidemark.sources import files
 
 THREADS = 4
@@ -29,6 +32,14 @@ def _run(tables: Sequence[str], job: Callable[[str], dict[str, int]]) -> list[di
         return [r for rows in pool.map(lambda t: files.run_tables([t], job), tables) for r in rows]
 
 
+def silver_table(
+    spark: SparkSession, root: str, table: str, keys: Sequence[str], buckets: int = 32
+) -> KeyedTable:
+    """The silver table of one contract table, in a catalog database of its flow's root."""
+    name = database(spark, f"silver_{md5(root.encode()).hexdigest()[:12]}", f"{root}/silver")
+    return KeyedTable(spark, f"{name}.{table.replace('.', '_')}", keys, buckets)
+
+
 def snapshot_flow(
     spark: SparkSession,
     contracts: Mapping[str, ct.Contract],
@@ -37,17 +48,22 @@ def snapshot_flow(
     load_date: str,
     run_id: str,
     now: str,
+    buckets: int = 32,
 ) -> dict:
     """Raw snapshot -> staging and quarantine -> silver (full replace), plus a run record."""
     suffix = f"load_date={load_date}/run_id={run_id}"
 
     def job(table: str) -> dict[str, int]:
-        ok, bad = ct.stage_snapshot(read(table), contracts[table], F.lit(now).cast("timestamp"))
+        # Raw files are read, typed and judged once; both parts come from what that left.
+        judged = ct.judge_snapshot(read(table), contracts[table], F.lit(now).cast("timestamp"))
+        ok, bad = ct.split_snapshot(reliable_checkpoint(judged), contracts[table])
         staging = f"{root}/staging/{table}/{suffix}"
         counts = files.write_ok_bad(
             ok, bad, staging, f"{root}/quarantine/{table}/{suffix}", reason="reject_reason"
         )
-        files.write_next_version(spark, spark.read.parquet(staging), f"{root}/silver/{table}")
+        silver = silver_table(spark, root, table, contracts[table].primary_key, buckets)
+        silver.create(spark.read.parquet(staging), source_is_unique=True)
+        silver.expire()
         return counts
 
     record = files.history_record("snapshot", run_id, load_date, _run(list(contracts), job))
@@ -64,21 +80,26 @@ def cdc_flow(
     run_id: str,
     now: str,
     zone: str = "UTC",
+    buckets: int = 32,
+    compact_share: float = 0.1,
+    keep: int = 2,
 ) -> dict:
-    """Change events of one run -> stage table -> merged silver version -> watermark.
+    """Change events of one run -> stage table -> merged silver table -> watermark.
 
     Each step can be repeated: the stage replaces exactly this run, the merge ignores what
-    is not newer, and the watermark never moves back.
+    is not newer, and the watermark never moves back.  A run writes what changed in silver, and
+    silver itself only when the changes pass ``compact_share`` of it; the last ``keep`` states
+    stay.
     """
 
     def job(table: str) -> dict[str, int]:
         contract = contracts[table]
-        flat = ct.apply_schema(cdc.normalize_changes(read(table), run_id, source_date), contract)
+        # Events are read and normalised once; both parts come from what that left.
+        flat = reliable_checkpoint(ct.apply_schema(cdc.normalize_changes(read(table), run_id, source_date), contract))
         ok, bad = ct.split_contract_fail(flat, contract)
         run_path = f"{root}/cdc/{table}/source_date_local={source_date}/run_id={run_id}"
         counts = files.write_ok_bad(ok, bad, run_path, f"{root}/quarantine/{table}/{run_id}")
-        stage_path, silver_path = f"{root}/stage/{table}", f"{root}/silver/{table}"
-        mark_path = f"{root}/watermarks/{table}"
+        stage_path, mark_path = f"{root}/stage/{table}", f"{root}/watermarks/{table}"
         files.stage_upsert(spark, spark.read.parquet(run_path), stage_path)
 
         # The stage is read with only this run's partition; the first run takes all of it.
@@ -87,20 +108,18 @@ def cdc_flow(
             (F.col("__source_date_local").cast("string") == source_date)
             & (F.col("__run_id").cast("string") == run_id)
         )
-        target = files.read_current(spark, silver_path)
         old_mark = files.read_current(spark, mark_path)
         if old_mark is None:
             empty = scoped.limit(0)
             old_mark = mg.watermark_of(empty, table, run_id, F.lit(now))
         fresh = mg.above_watermark(scoped, old_mark)
-        if target is None:
-            merged = mg.create_if_absent(None, stage, contract, zone)
+        silver = silver_table(spark, root, table, contract.primary_key, buckets)
+        if silver.exists():
+            silver.merge(mg.latest_per_key(fresh, contract, zone), source_is_unique=True)
+            silver.compact(compact_share)
         else:
-            latest = mg.latest_per_key(fresh, contract, zone)
-            merged = mg.merge_upsert(
-                target, latest, contract.primary_key, source_is_unique=True
-            )
-        files.write_next_version(spark, merged, silver_path)
+            silver.create(mg.create_if_absent(None, stage, contract, zone), source_is_unique=True)
+        silver.expire(keep)
         new_mark = mg.watermark_of(fresh, table, run_id, F.lit(now))
         files.write_next_version(spark, mg.watermark_upsert(old_mark, new_mark), mark_path)
         return counts
@@ -123,7 +142,7 @@ def curate_flow(
     stamp = F.lit(now).cast("timestamp")
 
     def job(table: str) -> dict[str, int]:
-        silver = files.read_current(spark, f"{root}/silver/{table}")
+        silver = silver_table(spark, root, table, contracts[table].primary_key).read()
         found = dq.rules_for(rules, table).get("columns") or {}
         classified = dq.curate(silver, contracts[table].primary_key, found, strict)
         # Read three times below, so it is written once, flagged, where a lost executor
@@ -157,6 +176,15 @@ def _bound_options(options: Sequence[str], high: int, legacy: bool) -> dict[str,
     return {name: known[name] for name in options if name in known}
 
 
+class BuildFailed(RuntimeError):
+    """Some models were not built; ``status`` has all of them."""
+
+    def __init__(self, status: dict[str, str]):
+        self.status = status
+        failed = {n: s for n, s in status.items() if s.startswith("failed")}
+        super().__init__("; ".join(f"{n} {s}" for n, s in failed.items()))
+
+
 def build_marts(
     spark: SparkSession,
     wh: Warehouse,
@@ -164,41 +192,67 @@ def build_marts(
     layers: Sequence[str] = ("platinum", "gold"),
     full_refresh: bool = False,
     legacy_key_math: bool = False,
+    threads: int = THREADS,
+    strict: bool = True,
 ) -> dict[str, str]:
-    """Write every model of the layers in dependency order; later models read the written ones.
+    """Write every model of the layers; later models read the written ones.
+
+    Models run in waves, ``threads`` at a time, each in a scheduler pool of its own (which
+    ``spark.scheduler.mode=FAIR`` gives equal shares).  Models with a unique key and a date key,
+    a column or an expression, merge into the months they touch; the rest is rewritten as a new
+    version.  A model that fails stops only those that read it.
 
-    Models with a unique key and a date key, a column or an expression, merge into the months
-    they touch; the rest is rewritten as a new version.
+    Gives ``built``, ``merged``, ``failed: reason`` or ``skipped: input`` for each model.  Unless
+    ``strict`` is off, a failure raises ``BuildFailed`` once all that can be built is.
     """
-    done: dict[str, str] = {}
-    for name, m in MODELS.items():
-        if m.layer not in layers:
-            continue
-        path = f"{root}/{name}"
-        incremental = bool(m.unique_key and (m.date_col or m.date_expr))
-        # A date key that is no column of the model is stored beside its columns.
-        date_col = m.date_col or "__date_key"
-        dated = lambda df, m=m: df.withColumn("__date_key", F.expr(m.date_expr)) if m.date_expr else df
-        stored = incremental and not full_refresh and files.exists(spark, f"{path}/yyyymm=*")
-        if stored:
-            high = inc.high_key(spark.read.parquet(path), date_col)
-            options = _bound_options(m.options, high, legacy_key_math)
-            fresh = dated(wh.build(name, **options))
-            if not options:
-                bound = inc.lower_bound(high, days=31, legacy_key_math=legacy_key_math)
-                fresh = fresh.filter(F.col(date_col) >= bound)
-            inc.merge_into_partitions(spark, path, fresh, m.unique_key, date_col)
-            done[name] = "merged"
-        elif incremental:
-            inc.write_by_month(dated(wh[name]), path, m.cluster, date_col=date_col)
-            done[name] = "built"
-        else:
-            files.write_next_version(spark, wh[name], path)
-            done[name] = "built"
-        table = (
-            spark.read.parquet(path).drop("yyyymm", "__date_key")
-            if incremental
-            else files.read_current(spark, path)
-        )
-        wh.put(name, table)
-    return done
+    selected = [n for n, m in MODELS.items() if m.layer in layers]
+    status: dict[str, str] = {}
+
+    def one(name: str) -> str:
+        lost = [i for i in MODELS[name].inputs if status.get(i, "").startswith(("failed", "skipped"))]
+        if lost:
+            return f"skipped: {', '.join(lost)}"
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return _build_one(spark, wh, root, MODELS[name], full_refresh, legacy_key_math)
+        except Exception as e:  # recorded per model
+            return f"failed: {str(e).splitlines()[0] if str(e) else type(e).__name__}"
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(threads) as pool:
+        for wave in build_waves(selected):
+            status.update(zip(wave, list(pool.map(one, wave))))
+    if strict and any(s.startswith("failed") for s in status.values()):
+        raise BuildFailed(status)
+    return status
+
+
+def _build_one(
+    spark: SparkSession, wh: Warehouse, root: str, m: Model, full_refresh: bool, legacy_key_math: bool
+) -> str:
+    """Write one model and let the warehouse read what was written."""
+    path = f"{root}/{m.name}"
+    incremental = bool(m.unique_key and (m.date_col or m.date_expr))
+    # A date key that is no column of the model is stored beside its columns.
+    date_col = m.date_col or "__date_key"
+    dated = lambda df: df.withColumn("__date_key", F.expr(m.date_expr)) if m.date_expr else df
+    how = "built"
+    if incremental and not full_refresh and files.exists(spark, f"{path}/yyyymm=*"):
+        high = inc.high_key(spark.read.parquet(path), date_col)
+        options = _bound_options(m.options, high, legacy_key_math)
+        fresh = dated(wh.build(m.name, **options))
+        if not options:
+            bound = inc.lower_bound(high, days=31, legacy_key_math=legacy_key_math)
+            fresh = fresh.filter(F.col(date_col) >= bound)
+        inc.merge_into_partitions(spark, path, fresh, m.unique_key, date_col)
+        how = "merged"
+    elif incremental:
+        inc.write_by_month(dated(wh[m.name]), path, m.cluster, date_col=date_col)
+    else:
+        files.write_next_version(spark, wh[m.name], path)
+    table = (
+        spark.read.parquet(path).drop("yyyymm", "__date_key") if incremental else files.read_current(spark, path)
+    )
+    wh.put(m.name, table)
+    return how

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import inspect
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -89,3 +89,22 @@ class Warehouse(Mapping):
 def select_layer(layer: str) -> list[str]:
     """Models of one layer in dependency order (registration order is definition order)."""
     return [m.name for m in MODELS.values() if m.layer == layer]
+
+
+def build_waves(names: Iterable[str]) -> list[list[str]]:
+    """The models in waves: each reads only models of earlier waves, so a wave can run side by side.
+
+    Models that are not among ``names`` are no dependencies: they are computed where they are read.
+    """
+    wanted, depth = list(names), {}
+
+    def level(name: str) -> int:
+        if name not in depth:
+            inputs = [i for i in MODELS[name].inputs if i in wanted]
+            depth[name] = 1 + max(map(level, inputs), default=-1)
+        return depth[name]
+
+    waves: list[list[str]] = [[] for _ in range(1 + max(map(level, wanted), default=-1))]
+    for name in wanted:
+        waves[level(name)].append(name)
+    return waves

@@ -131,7 +131,8 @@ def write_ok_bad(
 ) -> dict[str, int]:
     """Write both parts and return their counts, taken in the same pass as the write.
 
-    Quarantine is laid out by reason; nothing is written there when no row is bad.
+    Quarantine is laid out by reason; nothing is written there when no row is bad.  Give frames
+    that read stored rows, as the flows do: each part is evaluated by itself.
     """
     seen = Observation()
     ok.observe(seen, F.count(F.lit(1)).alias("ok")).write.mode("overwrite").parquet(ok_path)
