@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import stored, with_handles
+from tidemark.llm.scratch import addressed, quoted, stored, without_rows
 
 _BLANK = b"\x20\x09\x0a\x0b\x0c\x0d"
 CAPACITY, DIRECTORY_BITS, KEY_BITS = 2_000, 16, 63
@@ -100,7 +100,7 @@ def _pages(
     along, so of a text with very many copies each task sends few on.
     """
     rows = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
+    kind, handle = (rows.schema[c].dataType.simpleString() for c in ("id", "row"))
     down = 63 - directory.global_depth
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +129,7 @@ def _pages(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"), batch.column("id"), pa.array(points, pa.int64()), pa.array(shas, pa.string()),
-                    pa.array(keys), pa.array(directory.buckets[keys >> down]), pa.array(heads, pa.int64()),
+                    pa.array(keys), pa.array(directory.buckets[keys >> down]), pa.array(heads, batch.column("row").type),
                     pa.array(bodies, pa.binary()),
                 ],
                 ["row", "id", "code_points", "sha", "key", "bucket", "head", "body"],
@@ -137,7 +137,7 @@ def _pages(
 
     return rows.mapInArrow(
         run,
-        f"row bigint, id {kind}, code_points bigint, sha string, key bigint, bucket bigint, head bigint, body binary",
+        f"row {handle}, id {kind}, code_points bigint, sha string, key bigint, bucket bigint, head {handle}, body binary",
     )
 
 
@@ -158,7 +158,7 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 chain.append((row, body))
                 first = row
             firsts.append(first)
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(firsts, pa.int64())], ["row", "first"])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(firsts, batch.column("row").type)], ["row", "first"])
 
 
 def exact_groups(
@@ -224,12 +224,13 @@ def _index(
     pages = stored(
         _pages(docs, id_col, text_col, key_bits, directory, row).join(again, "key", "left_semi"), "dedup-pages"
     )
+    kind = pages.schema["row"].dataType.simpleString()
     firsts = (
         pages.filter(F.col("body").isNotNull())
         .select("bucket", "key", "row", "body")
         .repartitionByRange("bucket", "key")
         .sortWithinPartitions("bucket", "key", "row")
-        .mapInArrow(_chains, "row bigint, first bigint")
+        .mapInArrow(_chains, f"row {kind}, first {kind}")
     )
     members = stored(
         pages.select(*(["row"] if handle else []), "id", "code_points", "sha", "head").join(
@@ -243,11 +244,11 @@ def _index(
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts: the one with the most code points, then
     the smallest id, a null id last; of rows that are equal in that any one."""
-    rows, handle = with_handles(docs, "dedup-rows")
+    rows, handle = addressed(docs, "dedup-rows")
     _, _, members = _index(rows, id_col, text_col, CAPACITY, DIRECTORY_BITS, KEY_BITS, handle)
     groups = stored(members.groupBy("first").agg(_best("row").alias("best")), "dedup-groups")
     gone = stored(
         members.join(groups, "first").filter(F.col("row") != F.col("best.row")).select(F.col("row").alias(handle)),
         "dedup-gone",
     )
-    return rows.join(gone, handle, "left_anti").select(*docs.columns)
+    return without_rows(rows, handle, gone).select(*quoted(docs.columns))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.scratch import free_name, running_totals, stored, with_handles
+from tidemark.llm.scratch import addressed, free_name, quoted, running_totals, stored
 
 _WORD = r"[^\x20\x09-\x0D]+"
 #: Fixed-point steps of one copy: running sums are exact, in whatever order they are added.
@@ -17,6 +17,13 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(_WORD)), F.lit(0)).cast("long")
 
 
+def _salt(key: Column, size: Column) -> Column:
+    """One of 64 salts by the digest of key and size; keys of any type do, and null or repeated
+    ones are still spread by their sizes."""
+    text = F.concat_ws(":", F.coalesce(key.cast("string"), F.lit("")), size.cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("long") % 64
+
+
 def targets(
     sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), budget: float = 1.5, most: int = 2
 ) -> DataFrame:
@@ -105,7 +112,7 @@ def mix(
     laid = sized.join(goal, F.col("source").eqNullSafe(F.col("of"))).select(
         "key", "source", "size", "source_size", "target", "step", "offset",
         (F.expr("shiftright(size, greatest(length(bin(size)) - 3, 0))") + 8 * high.cast("long")).alias("class"),
-        F.pmod(F.coalesce(F.col("key"), F.lit(0)), F.lit(64)).alias("salt"), *row,
+        _salt(F.col("key"), F.col("size")).alias("salt"), *row,
     )
     summed = running_totals(
         laid, ["source"], ["class", "salt"], ["size", F.col("key").asc_nulls_first(), *row], {"start": "step"}
@@ -118,10 +125,15 @@ def mix(
 
 
 def take(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``docs`` with each row as often as the mix takes it, none to twice."""
-    rows, handle = with_handles(docs, "mix-rows")
+    """``docs`` with each row as often as the mix takes it, none to twice.
+
+    Texts move once, to meet their number of copies; merged whatever the sizes, so that what
+    moves is in proportion to the documents.
+    """
+    rows, handle = addressed(docs, "mix-rows")
     times = free_name(rows, "taken_times")
     mixed = mix(rows, key_col, text_col, source_col, handle=handle)
     taken = stored(mixed.select(handle, F.col("copies").alias(times)).filter(F.col(times) > 0), "mix-taken")
-    repeated = rows.join(taken, handle).withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
-    return repeated.select(*docs.columns)
+    met = rows.join(taken.hint("merge"), handle)
+    repeated = met.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
+    return repeated.select(*quoted(docs.columns))

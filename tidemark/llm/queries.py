@@ -202,7 +202,7 @@ def op9(read):
     laid AS (
         SELECT d.doc_id, d.source, d.size, s.source_size, s.target, s.step, s.off,
                8 * greatest(length(bin(d.size)) - 3, 0) + (d.size >> greatest(length(bin(d.size)) - 3, 0)::BIGINT) AS class,
-               ((d.doc_id % 64) + 64) % 64 AS salt
+               cast('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, '') || ':' || d.size), 1, 6) AS BIGINT) % 64 AS salt
         FROM sized d JOIN steps s ON d.source IS NOT DISTINCT FROM s.source
     ),
     placed AS (

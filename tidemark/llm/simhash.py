@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.scratch import stored, with_handles
+from tidemark.llm.scratch import addressed, quoted, stored, without_rows
 
 STEPS = 32
 #: Reference fingerprints: the ladder, and as many drawn at random (fixed seed).
@@ -82,8 +82,8 @@ def fingerprints(
                 [batch.column("id"), pa.array(values.view(np.int64)), *(batch.column(c) for c in carry)], ["id", "fp", *carry]
             )
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, ", ".join([f"id {kind}, fp bigint", *(f"{c} bigint" for c in carry)]))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    return rows.mapInArrow(run, ", ".join([f"id {kinds['id']}, fp bigint", *(f"{c} {kinds[c]}" for c in carry)]))
 
 
 # -- candidate keys ---------------------------------------------------------------------------
@@ -295,15 +295,18 @@ def drop_near_copies(
 ) -> DataFrame:
     """``docs`` with one row of each component: the smallest id, a null id last; of rows that
     share it any one."""
-    rows, handle = with_handles(docs, "simhash-rows")
+    rows, handle = addressed(docs, "simhash-rows")
     marked, named = _named(fingerprints(rows, id_col, text_col, words, handle), radius)
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
     # By fingerprint first: a row for each different one is joined, and no hot group.
-    by_fp = stored(marked.groupBy("fp").agg(first), "simhash-first")
-    again = F.min("first").alias("first")
-    kept = stored(
-        by_fp.join(named.select("fp", "component"), "fp").groupBy("component").agg(again)
-        .select(F.col("first.row").alias(handle)),
-        "simhash-kept",
+    by_fp = marked.groupBy("fp").agg(first, F.count(F.lit(1)).alias("n"))
+    again = F.min("first").alias("first"), F.sum("n").alias("n")
+    several = by_fp.join(named.select("fp", "component"), "fp").groupBy("component").agg(*again).filter("n > 1")
+    stays = stored(
+        named.join(several, "component").select(F.col("fp").alias("of"), F.col("first.row").alias("stays")), "simhash-stays"
     )
-    return rows.join(kept, handle, "left_semi").select(*docs.columns)
+    gone = stored(
+        marked.join(stays, F.col("fp") == F.col("of")).filter("row <> stays").select(F.col("row").alias(handle)),
+        "simhash-gone",
+    )
+    return without_rows(rows, handle, gone).select(*quoted(docs.columns))
