@@ -15,7 +15,6 @@ from tidemark.llm.tokens import WordTokens
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 PLAIN = Tokenizer.from_file(PATH)
-PLAIN.encode_special_tokens = True
 WORDS = WordTokens(PATH, remember=50)
 
 
@@ -23,7 +22,7 @@ def ids(text):
     return np.array([*PLAIN.encode(text or "", add_special_tokens=False).ids, 1], "<u4").tobytes()
 
 
-chunks = st.sampled_from(["a", "B", "it's", "..", ".", ",", " ", "\n", "é", "É", "H̱", "İ", "Σ", "12", "½", "\x85", "\x1c", " ", "한", "ᄒ", "ᅡ", "'ll", "<|endoftext|>", "ß", "-", "क़", "שׁ", "***", "ς", "Ö"])
+chunks = st.sampled_from(["a", "B", "it's", "..", ".", ",", " ", "\n", "é", "É", "H̱", "İ", "Σ", "12", "½", "\x85", "\x1c", " ", "한", "ᄒ", "ᅡ", "'ll", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "ß", "-", "क़", "שׁ", "***", "ς", "Ö"])
 
 
 @settings(max_examples=400, deadline=None)

@@ -31,7 +31,8 @@ class WordTokens:
 
     The vocabulary's rules work within stretches without white space (it drops white space and
     splits there first), so a text's ids are the ids of its words one after another.  ASCII
-    white space is enough to cut at; what lies between may hold other white space.  Words met
+    white space is enough to cut at; what lies between may hold other white space.  Added tokens
+    in a text (``<|endoftext|>``) are the one id they have, as in a plain call.  Words met
     before are looked up; at most ``remember`` of them are kept, which takes about 0.2 KB each.
     """
 
@@ -39,7 +40,9 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._added = regex.compile("|".join(map(regex.escape, added)) or r"(?!)")
+        self._added_lower = regex.compile(self._added.pattern.lower().encode())
         self._known = _Memory()
         self._room = remember
 
@@ -47,8 +50,10 @@ class WordTokens:
         split = []
         for text in texts:
             raw = text.encode("utf-8", "surrogatepass")
-            # The vocabulary is lower case; for ASCII text that is the same before as after.
-            split.append(raw.lower().split() if raw.isascii() else raw.split())
+            # The vocabulary is lower case; for ASCII text that is the same before as after.  Only
+            # the added tokens are found before, as they are written.
+            small = raw.lower() if raw.isascii() else raw
+            split.append((raw if self._added_lower.search(small) else small).split())
         known = self._known
         fresh = set().union(*split).difference(known)
         found = self._look_up(fresh)
@@ -66,7 +71,9 @@ class WordTokens:
             text = word.decode("utf-8", "replace")
             # Some letters fall apart into letters and combining marks.
             plain = text if text.isascii() else unicodedata.normalize("NFC", text).lower()
-            if text.isalpha() and (plain is text or plain.isalpha()):
+            if self._added.search(text):
+                out[word] = self._alone(text)
+            elif text.isalpha() and (plain is text or plain.isalpha()):
                 parts[word] = [text]
             elif _SIMPLE.fullmatch(text) and (plain is text or _SIMPLE.fullmatch(plain)):
                 parts[word] = _PIECE.findall(text)
