@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from hypothesis import given, settings
@@ -62,6 +63,32 @@ def test_attachments(spark):
     assert row["expanded_tokens"] == 1075 and row["loss_spans"] == []
 
 
+def test_parts_do_not_form_control_strings_together(spark):
+    """Any split of any text into parts reads back as the text, placeholders between them too."""
+    draw = random.Random(11)
+    pieces = ["<", "|", "end", "|>", "<|end|>", "<|bo", "dy|>", "\\", "[", "INST]", "/INST]", "s>", "/", "a", "\x00", "t", "\x00m", "image", "\x00e", "é", "\n"]
+    rows, want = [], {}
+    for c in range(400):
+        parts, said = [], ""
+        for _ in range(draw.randint(0, 8)):
+            t = "".join(draw.choices(pieces, k=draw.randint(0, 3)))
+            if draw.random() < 0.2:
+                parts.append(("image", t, "r", 1))
+                said += f"<|image|>{t}"
+            else:
+                parts.append((draw.choice(["text", None, "odd"]), t if t or draw.random() < 0.5 else None, None, None))
+                said += t
+        rows.append((c, 0, "assistant", parts, 1, "", ""))
+        want[c] = said
+    rows.append((1000, 0, "assistant", [("text", "a<", None, None), ("text", "|end|>b", None, None)], 1, "", ""))
+    want[1000] = "a<|end|>b"
+    chats = chat.format_chats(spark.createDataFrame(rows, SCHEMA))
+    for r in chat.read_back(chats).collect():
+        said = want[r["conv"]]
+        assert r["n_turns"] == 1 and r["loss_chars"] == len(said), said
+        assert r["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+
+
 def test_native_and_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     out = chat.read_back(chat.format_chats(df))

@@ -7,6 +7,7 @@ references and expanded token counts are recorded beside the formatted conversat
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,8 @@ _CONTROL = r"\||/?s>|</?SYS>>|start_of_turn>|end_of_turn>|bos>|eos>|pad>|unk>|/?
 _ESCAPE = rf"([<\[])(\\*)({_CONTROL})"
 _UNESCAPE = rf"([<\[])\\(\\*)({_CONTROL})"
 
+_NUL = "\x00"
+
 PART = "struct<kind:string,text:string,ref:string,units:bigint>"
 
 
@@ -61,11 +64,22 @@ class Visitor:
     def is_attachment(self, part: Column) -> Column:
         return part["kind"].isNotNull() & part["kind"].isin(*self.rules)
 
-    def shown(self, part: Column) -> Column:
-        """Placeholder or escaped text; the caption of an attachment follows it."""
-        text = escape(F.coalesce(part["text"], F.lit("")))
-        mark = F.concat(F.lit("<|"), part["kind"], F.lit("|>"))
-        return F.when(self.is_attachment(part), F.concat(mark, text)).otherwise(text)
+    def body(self, parts: Column) -> Column:
+        """The parts in order: texts escaped, attachments as placeholders, each before its caption.
+
+        Neighbouring texts are joined before they are escaped, so parts of a control string in
+        several of them do not make one together.  Meanwhile a null character leads the
+        placeholders, and null characters of the texts are doubled into another form.
+        """
+        def raw(part: Column) -> Column:
+            text = F.replace(F.coalesce(part["text"], F.lit("")), F.lit(_NUL), F.lit(_NUL + "t"))
+            mark = F.concat(F.lit(_NUL + "m"), part["kind"], F.lit(_NUL + "e"))
+            return F.when(self.is_attachment(part), F.concat(mark, text)).otherwise(text)
+
+        kinds = "|".join(re.escape(k) for k in self.rules) or "(?!)"
+        joined = escape(F.array_join(F.transform(parts, raw), ""))
+        shown = F.regexp_replace(joined, rf"\x00m({kinds})\x00e", r"<|$1|>")
+        return F.replace(shown, F.lit(_NUL + "t"), F.lit(_NUL))
 
     def tokens(self, part: Column) -> Column:
         """Tokens that the placeholder expands to; 0 for text."""
@@ -103,7 +117,7 @@ def format_chats(
         F.col(conv_col).alias("conv"),
         F.col(turn_col).alias("turn"),
         F.coalesce(F.col(role_col), F.lit("")).alias("role"),
-        F.array_join(F.transform(parts, visit.shown), "").alias("body"),
+        visit.body(parts).alias("body"),
         F.filter(
             F.transform(
                 parts,
