@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -53,10 +53,11 @@ def train(
     rows = docs.select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.col(key_col).alias("key")
     ).filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = rows.groupBy("lang").count()
+    most = max_matrix_mb * (1 << 20) // (4 << bits)
+    sizes = rows.groupBy("lang").count().limit(most + 1)  # more languages than that are an error
     languages = sorted((r["lang"], r["count"]) for r in sizes.collect())
-    if (len(languages) << bits) * 4 > max_matrix_mb << 20:
-        raise ValueError(f"{len(languages)} languages need a matrix over {max_matrix_mb} MB: use fewer bits")
+    if len(languages) > most:
+        raise ValueError(f"over {most} languages need a matrix over {max_matrix_mb} MB: use fewer bits")
     names = [lang for lang, _ in languages]
     if not names:
         return LanguageModel([], np.zeros(0), np.zeros((1 << bits, 0), np.float32), orders, bits)
@@ -159,7 +160,12 @@ def predict(
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text has no language: null texts, and texts without a letter."""
+    """``docs`` without the rows whose text has no language: null texts, and texts without a letter.
+
+    A model that knows no language tells none, and the letters alone decide.
+    """
+    if not model.languages:
+        model = replace(model, languages=[""], log_prior=np.zeros(1), log_prob=np.zeros((1 << model.bits, 1), np.float32))
     pred, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
     told = predict(docs, model, text_col, tuple(docs.columns), pred, score)
     return told.filter(F.col(pred) != "und").select(*[F.col(f"`{c}`") for c in docs.columns])
