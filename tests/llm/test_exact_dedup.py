@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from edge import ROWS, documents, empty
 
+from tidemark.llm import exact_dedup
 from tidemark.llm.exact_dedup import build_directory, drop_exact_copies, exact_groups
 
 
@@ -31,6 +32,14 @@ def test_many_copies_over_partitions(spark):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows)
 
 
+def test_hot_keys_are_walked_in_parts(spark, monkeypatch):
+    """One key (short keys collide) with several texts and thousands of rows: the parts' leaders meet."""
+    monkeypatch.setattr(exact_dedup, "CHAIN", 50)
+    rows = [(i, f"text {i % 3}" if i % 10 else f"lone {i}", "en", "a", 1) for i in range(600)]
+    got = exact_groups(documents(spark, rows).repartition(9), key_bits=1)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows)
+
+
 def test_empty(spark):
     assert exact_groups(empty(spark)).count() == 0
 
@@ -53,4 +62,24 @@ def test_directory():
         # A bucket is one range of prefixes, as wide as its local depth says, and not overfull.
         assert (np.diff(own) == 1).all() and own[0] == start and len(own) == 1 << (6 - depth)
         assert cells[own].sum() <= 20 or depth == 6
-    assert build_directory(np.zeros(64, np.int64), 6, 20).global_depth == 0
+        # An overfull bucket has pages for all its keys; a bucket has one owner.
+        assert set(d.pages[own]) == {max(1, -(-cells[own].sum() // 20))} and len(set(d.owners[own])) == 1
+    # Owners are ranges of buckets with about equal loads.
+    assert (np.diff(d.owners) >= 0).all() and d.owners.max() < 64
+
+
+def test_every_key_has_one_place():
+    cells = np.random.default_rng(4).integers(0, 30, 256)
+    d = build_directory(cells, 8, 40, owners=5)
+    keys = np.random.default_rng(5).integers(0, 1 << 63, 2000)
+    owner, bucket, page = d.place(keys)
+    again = d.place(keys[::-1])
+    assert all((a == b[::-1]).all() for a, b in zip((owner, bucket, page), again))
+    assert (page >= 0).all() and (page < d.pages[keys >> (63 - d.global_depth)]).all() and set(owner) <= set(range(5))
+    loads = [cells[d.owners[np.arange(256) >> (8 - d.global_depth)] == o].sum() for o in range(5)]
+    assert max(loads) <= cells.sum() / 5 + 2 * 40
+
+
+def test_directory_of_no_keys():
+    empty_one = build_directory(np.zeros(64, np.int64), 6, 20)
+    assert empty_one.global_depth == 0 and empty_one.pages.tolist() == [1] and empty_one.owners.tolist() == [0]

@@ -1,9 +1,11 @@
 """Exact dedup with an extendible-hash index kept in shared files.
 
-A directory of ``2**global_depth`` entries maps the leading bits of a text's key to a bucket.
-It doubles until no bucket holds more keys than a page should, so a bucket is a range of keys.
-Owner tasks take ranges of buckets, walk each bucket's chain of equal keys and compare the
-normalised bytes; only texts whose key occurs more than once are ever moved.
+A directory of ``2**global_depth`` entries maps the leading bits of a text's key to a bucket and
+the bucket to its owner.  It doubles until no bucket holds more keys than a page should; a bucket
+that is as deep as the directory may be gets overflow pages.  The index files are laid out by
+owner and page.  Owner tasks walk the chain of equal keys in their pages and compare the
+normalised bytes; a key that very many rows share is walked in parts, whose leaders meet again.
+Only texts whose key occurs more than once are ever moved.
 """
 
 from __future__ import annotations
@@ -17,27 +19,43 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.grams import mix
 from tidemark.llm.scratch import addressed, quoted, stored, without_rows
 
 _BLANK = b"\x20\x09\x0a\x0b\x0c\x0d"
 CAPACITY, DIRECTORY_BITS, KEY_BITS = 2_000, 16, 63
+#: Index folders, and rows of one key that one task walks.
+OWNERS, CHAIN = 64, 1_000
 
 
 @dataclass(frozen=True)
 class Directory:
-    """``buckets[prefix]`` is the first prefix of the bucket that holds it; ``depths`` its local depth."""
+    """What each prefix of ``global_depth`` bits leads to.
+
+    ``buckets[prefix]`` is the first prefix of the bucket that holds it, ``depths`` the bucket's
+    local depth, ``pages`` the number of its pages (one, unless it overflows at full depth) and
+    ``owners`` its owner, a range of buckets with about an equal share of all keys.
+    """
 
     global_depth: int
     buckets: np.ndarray
     depths: np.ndarray
+    pages: np.ndarray
+    owners: np.ndarray
 
+    def place(self, keys: np.ndarray, key_bits: int = 63) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Owner, bucket and page of each key."""
+        prefix = keys >> (key_bits - self.global_depth)
+        # The low bits of a key tell nothing about its bucket.
+        return self.owners[prefix], self.buckets[prefix], mix(keys.astype(np.uint64)).view(np.int64) % self.pages[prefix]
 
-def build_directory(cells: np.ndarray, cell_bits: int, capacity: int) -> Directory:
+
+def build_directory(cells: np.ndarray, cell_bits: int, capacity: int, owners: int = OWNERS) -> Directory:
     """Split overfull buckets, doubling the directory when a bucket is as deep as it.
 
     ``cells[p]`` is the number of keys whose ``cell_bits`` leading bits are ``p``.  Splitting
-    ends at ``cell_bits``; a bucket still over ``capacity`` there keeps its keys as overflow
-    pages, which its owner reads on as a stream.
+    ends at ``cell_bits``; a bucket still over ``capacity`` there spreads its keys over overflow
+    pages.
     """
     before = np.concatenate([[0], np.cumsum(cells)])
     depth, starts, depths = 0, np.zeros(1, np.int64), np.zeros(1, np.int64)
@@ -58,7 +76,11 @@ def build_directory(cells: np.ndarray, cell_bits: int, capacity: int) -> Directo
         depths[low : low + width] = local + 1
         starts[low + half : low + width] = low + half
         live += [(bucket * 2, local + 1), (bucket * 2 + 1, local + 1)]
-    return Directory(depth, starts, depths)
+    width = 1 << (cell_bits - depth)
+    ends = starts + (1 << (depth - depths))
+    loads = before[ends * width] - before[starts * width]
+    share = max(1, -(-int(before[-1]) // owners))
+    return Directory(depth, starts, depths, np.maximum(1, -(-loads // capacity)), before[starts * width] // share)
 
 
 def _entries(docs: DataFrame, id_col: str, text_col: str, key_bits: int) -> DataFrame:
@@ -93,7 +115,7 @@ def _key(digest, key_bits: int) -> int:
 def _pages(
     docs: DataFrame, id_col: str, text_col: str, key_bits: int, directory: Directory, row: Column, memory: int = 32 << 20
 ) -> DataFrame:
-    """Index entries with their bytes: ``row, id, code_points, sha, key, bucket, head, body``.
+    """Index entries with their bytes: ``row, id, code_points, sha, key, owner, bucket, page, head, body``.
 
     ``row`` is a handle of the row.  A task remembers up to ``memory`` bytes of texts; a row
     whose bytes are equal to a remembered one points to it as its ``head`` and brings no bytes
@@ -101,7 +123,6 @@ def _pages(
     """
     rows = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind, handle = (rows.schema[c].dataType.simpleString() for c in ("id", "row"))
-    down = 63 - directory.global_depth
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, tuple[int, bytes]] = {}
@@ -129,36 +150,75 @@ def _pages(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"), batch.column("id"), pa.array(points, pa.int64()), pa.array(shas, pa.string()),
-                    pa.array(keys), pa.array(directory.buckets[keys >> down]), pa.array(heads, batch.column("row").type),
+                    pa.array(keys), *map(pa.array, directory.place(keys)), pa.array(heads, batch.column("row").type),
                     pa.array(bodies, pa.binary()),
                 ],
-                ["row", "id", "code_points", "sha", "key", "bucket", "head", "body"],
+                ["row", "id", "code_points", "sha", "key", "owner", "bucket", "page", "head", "body"],
             )
 
     return rows.mapInArrow(
         run,
-        f"row {handle}, id {kind}, code_points bigint, sha string, key bigint, bucket bigint, head {handle}, body binary",
+        f"row {handle}, id {kind}, code_points bigint, sha string, key bigint, owner bigint, bucket bigint, "
+        f"page bigint, head {handle}, body binary",
     )
 
 
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Walk entries sorted by key: each ``row`` and the ``first`` row of its chain with equal bytes.
+    """Walk entries sorted by key and part: each ``row`` and the ``first`` row of its chain with
+    equal bytes; the leaders of keys that lie in several parts keep key and bytes.
 
     Holds one text for each different text of one key, and nothing of other keys.
     """
-    key, chain = None, []
+    at, chain = None, []
     for batch in batches:
-        firsts = []
-        columns = (batch.column(c).to_pylist() for c in ("row", "key", "body"))
-        for row, k, body in zip(*columns):
-            if k != key:
-                key, chain = k, []
+        firsts, keys, bodies = [], [], []
+        columns = (batch.column(c).to_pylist() for c in ("row", "key", "part", "parts", "body"))
+        for row, key, part, parts, body in zip(*columns):
+            if (key, part) != at:
+                at, chain = (key, part), []
             first = next((f for f, b in chain if b == body), None)
-            if first is None:
-                chain.append((row, body))
+            leads = first is None
+            if leads:
                 first = row
+                chain.append((row, body))
             firsts.append(first)
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(firsts, batch.column("row").type)], ["row", "first"])
+            keys.append(key if leads and parts > 1 else None)
+            bodies.append(body if leads and parts > 1 else None)
+        kind = batch.column("row").type
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), pa.array(firsts, kind), pa.array(keys, pa.int64()), pa.array(bodies, pa.binary())],
+            ["row", "first", "key", "body"],
+        )
+
+
+def _first_rows(pages: DataFrame) -> DataFrame:
+    """``head, first``: for each row with bytes the first row with the same ones."""
+    kind = pages.schema["row"].dataType.simpleString()
+    walk = f"row {kind}, first {kind}, key bigint, body binary"
+    index = stored(
+        pages.filter(F.col("body").isNotNull())
+        .withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
+        .select("owner", "bucket", "page", "key", "part", "parts", "row", "body")
+        .repartition("owner", "page", "part")
+        .sortWithinPartitions("owner", "bucket", "page", "key", "part"),
+        "dedup-index",
+        by="owner",
+    )
+    firsts = stored(
+        index.repartition("owner", "bucket", "page", "part")
+        .sortWithinPartitions("owner", "bucket", "page", "key", "part", "row")
+        .mapInArrow(_chains, walk),
+        "dedup-firsts",
+    )
+    # Leaders of the parts of one key: as many as it has parts and different texts.
+    leaders = firsts.filter(F.col("body").isNotNull()).select(
+        "row", "key", F.lit(0).cast("long").alias("part"), F.lit(1).cast("long").alias("parts"), "body"
+    )
+    met = leaders.repartition("key").sortWithinPartitions("key", "row").mapInArrow(_chains, walk)
+    met = met.select(F.col("row").alias("first"), F.col("first").alias("leader"))
+    return firsts.join(met, "first", "left").select(
+        F.col("row").alias("head"), F.coalesce("leader", "first").alias("first")
+    )
 
 
 def exact_groups(
@@ -207,12 +267,12 @@ def _index(
     docs: DataFrame, id_col: str, text_col: str, capacity: int, directory_bits: int, key_bits: int,
     handle: str | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The entries of all rows, the keys that occur again, and of their rows ``id, code_points,
+    """The entries of all rows, the keys that occur again (with their rows), and of those rows ``id, code_points,
     sha, first``, with ``row`` if the rows have a ``handle``; ``first`` is the same for equal texts.
     """
     entries = stored(_entries(docs, id_col, text_col, key_bits), "dedup-entries")
     again = stored(
-        entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "dedup-keys"
+        entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "dedup-keys"
     )
     cells = np.zeros(1 << directory_bits, np.int64)
     cell = F.shiftright("key", 63 - directory_bits).alias("cell")
@@ -222,20 +282,13 @@ def _index(
 
     row = F.col(handle) if handle else F.monotonically_increasing_id()
     pages = stored(
-        _pages(docs, id_col, text_col, key_bits, directory, row).join(again, "key", "left_semi"), "dedup-pages"
-    )
-    kind = pages.schema["row"].dataType.simpleString()
-    firsts = (
-        pages.filter(F.col("body").isNotNull())
-        .select("bucket", "key", "row", "body")
-        .repartitionByRange("bucket", "key")
-        .sortWithinPartitions("bucket", "key", "row")
-        .mapInArrow(_chains, f"row {kind}, first {kind}")
+        _pages(docs, id_col, text_col, key_bits, directory, row)
+        .join(again, "key")
+        .withColumn("parts", F.ceil(F.col("n") / CHAIN)),
+        "dedup-pages",
     )
     members = stored(
-        pages.select(*(["row"] if handle else []), "id", "code_points", "sha", "head").join(
-            firsts.select(F.col("row").alias("head"), "first"), "head"
-        ),
+        pages.select(*(["row"] if handle else []), "id", "code_points", "sha", "head").join(_first_rows(pages), "head"),
         "dedup-members",
     )
     return entries, again, members
