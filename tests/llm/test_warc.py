@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,10 +40,46 @@ def test_read_back(spark):
     assert got == brute()
     stored = spark.read.parquet(archive.payloads)
     assert stored.count() == len({r[2] or "" for r in ROWS})
-    whole = {r["page_id"]: bytes(r["record"]) for r in warc.record_bytes(records).collect()}
-    head, _, rest = whole[4].partition(b"\r\n\r\n")
-    assert head.startswith(b"WARC/1.1\r\nWARC-Type: revisit\r\n") and b"\r\nX: y" not in head
-    assert rest == BIG.encode() + b"\r\n\r\n"
+
+
+def test_records_are_valid_warc(spark):
+    """Mandatory fields, names that occur once, revisits without a block that name their response."""
+    records = warc.read_archive(spark, warc.write_archive(spark.createDataFrame(ROWS, SCHEMA), date="2024-05-06T07:08:09Z")).collect()
+    parsed = []
+    for r in records:
+        raw = bytes(r["record"])
+        head, _, rest = raw.partition(b"\r\n\r\n")
+        version, *lines = head.decode().split("\r\n")
+        assert version == "WARC/1.1"
+        fields = dict(line.split(": ", 1) for line in lines)
+        assert len(fields) == len(lines)
+        n = int(fields["Content-Length"])
+        assert rest[n:] == b"\r\n\r\n"
+        parsed.append((fields, rest[:n], bytes(r["payload"])))
+    names = [f["WARC-Record-ID"] for f, _, _ in parsed]
+    assert len(set(names)) == len(ROWS)
+    assert all(re.fullmatch(r"<urn:uuid:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}>", n) for n in names)
+    by_name = {f["WARC-Record-ID"]: (f, block) for f, block, _ in parsed}
+    for f, block, payload in parsed:
+        assert f["WARC-Date"] == "2024-05-06T07:08:09Z" and f["WARC-Type"] in ("response", "revisit")
+        assert f["WARC-Payload-Digest"] == "sha256:" + hashlib.sha256(payload).hexdigest()
+        if f["WARC-Type"] == "revisit":
+            target, body = by_name[f["WARC-Refers-To"]]
+            assert block == b"" and body == payload and target["WARC-Type"] == "response" and "WARC-Block-Digest" not in f
+            assert f["WARC-Profile"].endswith("revisit/identical-payload-digest") and f["WARC-Refers-To-Date"] == target["WARC-Date"]
+            assert f.get("WARC-Refers-To-Target-URI") == target.get("WARC-Target-URI")
+        else:
+            assert block == payload and f["WARC-Block-Digest"] == f["WARC-Payload-Digest"]
+    assert any(f.get("WARC-Target-URI") == "http://a/%0D%0AX: y" for f, _, _ in parsed)
+
+
+def test_damaged_records_are_errors(spark):
+    good = warc.read_archive(spark, warc.write_archive(spark.createDataFrame(ROWS[:3], SCHEMA)))
+    cut = good.withColumn("record", F.expr("substring(record, 1, octet_length(record) - 5)"))
+    other = good.withColumn("payload", F.concat("payload", F.encode(F.lit("!"), "UTF-8")))
+    for bad in (cut, other):
+        with pytest.raises(Exception, match="record is not|does not match"):
+            warc.read_back(bad).collect()
 
 
 def test_damaged_and_missing_payloads_are_errors(spark):
