@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.scratch import stored
+
 # Kinds in the order in which spans are listed, and the patterns.
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -123,26 +125,32 @@ def nodes(text: str, base: list[Span]) -> list[Node]:
                 spans.append((a, b, 0))
     for a, b, label in sorted(spans):
         said = text[a:b]
-        digits = _DIGITS.sub("", said)
+        form, digits = _form(said)
         keys = [("as", said.lower().strip(".,;:"))]
-        if "@" in said:
-            form = "at"
-        elif said.count(".") == 3 and len(digits) <= 12 and " " not in said:
-            form = "dotted"
+        if form == "dotted":
             keys.append(("net", said.rpartition(".")[0]))
-        else:
-            form = "number"
-            if len(digits) >= 7:
-                keys += [("digits", digits), ("last", digits[-9:])]
-        marks = "".join(sorted({c for c in said if not c.isalnum()} - {"+"}))
-        cells = [
-            _cell("bias"), _cell("form", form), _cell("size", form, min(len(digits), 20)), _cell("marks", form, marks),
-            _cell("before", _word_before(text, a)), _cell("sign", form, text[a - 1 : a] == "+" or said[:1] == "+"),
-        ]
-        out.append(Node(a, b, label, keys, cells))
+        elif form == "number" and len(digits) >= 7:
+            keys += [("digits", digits), ("last", digits[-9:])]
+        out.append(Node(a, b, label, keys, _features(said, _word_before(text, a), text[a - 1 : a] == "+")))
     return out
 
 
+def _form(said: str) -> tuple[str, str]:
+    digits = _DIGITS.sub("", said)
+    if "@" in said:
+        return "at", digits
+    return ("dotted" if said.count(".") == 3 and len(digits) <= 12 and " " not in said else "number"), digits
+
+
+def _features(said: str, before: str, plus: bool) -> list[int]:
+    form, digits = _form(said)
+    marks = "".join(sorted({c for c in said if not c.isalnum()} - {"+"}))
+    return [
+        _cell("bias"), _cell("form", form), _cell("size", form, min(len(digits), 20)), _cell("marks", form, marks),
+        _cell("before", before), _cell("sign", form, plus or said[:1] == "+"),
+    ]
+
+
 @dataclass(frozen=True)
 class Field:
     """Weights of the random field: features x labels, chain transitions, and the skip bond."""
@@ -152,71 +160,115 @@ class Field:
     bond: float
 
 
+#: What the bond is drawn to where the data say little, and how strongly (a Gaussian prior).
+BOND_PRIOR, BOND_SPREAD = 6.0, 2.0
+
+
+def examples(text: str, draw: int) -> Iterator[tuple[int, list[int], int, int, list[int]]]:
+    """Training nodes of a text: ``label, cells, label before, label after, labels of repeats``.
+
+    Labels are known for sure spans, and for candidates that repeat no sure span: those are not
+    personal.  Candidates that do repeat one are what is to be found, so they are no example for
+    either.  In their place sure spans are hidden: about half of them, by ``draw``, come once more as
+    a bare repeat (without their sign) that only its bond to the sure span gives away.
+    ``labels of repeats`` counts, by label, the nodes joined to it; -1 stands for an unknown label.
+    """
+    own = nodes(text, base_spans(text))
+    sure = {key for n in own if n.label for key in n.keys}
+    known = [n.label if n.label or not any(k in sure for k in n.keys) else -1 for n in own]
+    near: list[set[int]] = [set() for _ in own]
+    for a, b in {*_skips([own]), *_anchors([own])}:
+        near[a].add(b)
+        near[b].add(a)
+    for i, n in enumerate(own):
+        if known[i] < 0:
+            continue
+        before, after = (known[i - 1] if i else -1), (known[i + 1] if i + 1 < len(own) else -1)
+        repeats = [0] * _LABELS
+        for j in near[i]:
+            if known[j] >= 0:
+                repeats[known[j]] += 1
+        yield known[i], n.cells, before, after, repeats
+        said = text[n.start : n.end]
+        if n.label and zlib.crc32(f"{draw}:{i}".encode()) % 2:
+            repeats = list(repeats)
+            repeats[n.label] += 1
+            yield n.label, _features(said.lstrip("+"), _word_before(text, n.start), False), -1, -1, repeats
+
+
 def train(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = 20_000, sample_nodes: int = 60_000
 ) -> Field:
-    """Learn from the labels that the patterns give.
-
-    About ``sample_docs`` documents with the smallest id hashes are read, and of their
-    candidates at most ``sample_nodes``.  Unary weights are a multinomial logistic regression,
-    chain weights are the log ratios of neighbouring labels to chance, and the skip bond is the
-    log odds that candidates that repeat each other have the same label.  With nothing to learn
-    from, only the bond's prior remains.
+    """Learn all potentials together from the labels that the patterns give (``examples``).
+
+    About ``sample_docs`` documents with the smallest id hashes are read, and of their training nodes
+    about ``sample_nodes``, drawn by hash.  The pseudo-likelihood, each node's label given its
+    features and the labels around it, is climbed in the unary weights, the chain weights and the
+    bond at once, under Gaussian priors; the bond's is around ``BOND_PRIOR``, as repeats may be rare.
+    With nothing to learn from, only the priors remain.  Null texts are left out; long texts are read
+    whole; repeated rows count again.
     """
     total = docs.count()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
         F.col("text").isNotNull()
         & (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / F.lit(float(1 << 40)) < sample_docs / max(total, 1))
-    )
+    ).select("text", F.xxhash64(F.lit(5), "id").alias("draw"))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels, cells, follows, agree, differ = [], [], [], [], []
-            for text in batch.column("text").to_pylist():
-                own = nodes(text, base_spans(text))
-                same: list[list[bool]] = [[] for _ in own]
-                for a, b in _skips([own]):
-                    same[b].append(own[a].label == own[b].label)
-                for i, n in enumerate(own):
-                    labels.append(n.label)
-                    cells.append(n.cells)
-                    follows.append(own[i - 1].label if i else -1)
-                    agree.append(sum(same[i]))
-                    differ.append(len(same[i]) - sum(same[i]))
+            found, draws = [], []
+            for text, draw in zip(batch.column("text").to_pylist(), batch.column("draw").to_pylist()):
+                own = list(examples(text, draw))
+                found += own
+                draws += [zlib.crc32(f"{draw}/{i}".encode()) for i in range(len(own))]
+            label, cells, before, after, repeats = zip(*found) if found else ([], [], [], [], [])
             yield pa.RecordBatch.from_pydict(
-                {"label": labels, "cells": cells, "follows": follows, "agree": agree, "differ": differ},
+                {"draw": draws, "label": label, "cells": cells, "before": before, "after": after, "repeats": repeats},
                 schema=pa.schema(
-                    [("label", pa.int32()), ("cells", pa.list_(pa.int32())), ("follows", pa.int32()), ("agree", pa.int32()), ("differ", pa.int32())]
+                    [("draw", pa.int64()), ("label", pa.int32()), ("cells", pa.list_(pa.int32())), ("before", pa.int32()), ("after", pa.int32()), ("repeats", pa.list_(pa.int32()))]
                 ),
             )
 
-    table = (
-        rows.mapInArrow(collect, "label int, cells array<int>, follows int, agree int, differ int")
-        .limit(sample_nodes)
-        .toArrow()
+    found = stored(
+        rows.mapInArrow(collect, "draw bigint, label int, cells array<int>, before int, after int, repeats array<int>"),
+        "pii-examples",
     )
-    unary = np.zeros((_CELLS, _LABELS))
-    labels = table["label"].to_numpy()
-    counts = np.ones((_LABELS, _LABELS))
-    if labels.size:
-        cells = np.array(table["cells"].to_pylist())
-        truth, pace = np.eye(_LABELS)[labels], np.full((_CELLS, _LABELS), 1e-6)
-        for _ in range(40):
-            z = unary[cells].sum(axis=1)
-            z = np.exp(z - z.max(axis=1, keepdims=True))
-            error = (z / z.sum(axis=1, keepdims=True) - truth) / labels.size
-            slope = 1e-4 * unary / labels.size
-            for j in range(cells.shape[1]):
-                np.add.at(slope, cells[:, j], error)
-            pace += slope**2
-            unary -= 0.5 * slope / np.sqrt(pace)
-        follows = table["follows"].to_numpy()
-        np.add.at(counts, (follows[follows >= 0], labels[follows >= 0]), 1)
-    chance = counts.sum(axis=1, keepdims=True) * counts.sum(axis=0, keepdims=True) / counts.sum()
-    chain = np.clip(np.log(counts / chance), -1.0, 1.0)
-    agree, differ = (int(np.sum(table[c].to_numpy())) for c in ("agree", "differ"))
-    bond = float(np.clip(np.log((agree + 100) / (differ + 1)), 5.0, 8.0))
-    return Field(np.clip(unary, -4, 4), chain, bond)
+    share = sample_nodes / max(found.count(), 1)
+    table = found.filter(F.col("draw") < share * (1 << 32)).drop("draw").toArrow()
+    label = table["label"].to_numpy()
+    if not label.size:
+        return Field(np.zeros((_CELLS, _LABELS)), np.zeros((_LABELS, _LABELS)), BOND_PRIOR)
+    cells, repeats = (np.array(table[c].to_pylist()) for c in ("cells", "repeats"))
+    return fit(label, cells, table["before"].to_numpy(), table["after"].to_numpy(), repeats)
+
+
+def fit(
+    label: np.ndarray, cells: np.ndarray, before: np.ndarray, after: np.ndarray, repeats: np.ndarray, rounds: int = 120
+) -> Field:
+    """The field of highest penalised pseudo-likelihood, by scaled gradient steps."""
+    truth, n = np.eye(_LABELS)[label], label.size
+    unary, chain, bond = np.zeros((_CELLS, _LABELS)), np.zeros((_LABELS, _LABELS)), BOND_PRIOR
+    has_before, has_after = before >= 0, after >= 0
+    pace_unary, pace_chain, pace_bond = np.full_like(unary, 1e-6), np.full_like(chain, 1e-6), 1e-6
+    for _ in range(rounds):
+        score = unary[cells].sum(axis=1) + bond * repeats
+        score[has_before] += chain[before[has_before]]
+        score[has_after] += chain.T[after[has_after]]
+        error = (_softmax(score) - truth) / n
+        slope = 1e-2 * unary / n
+        for j in range(cells.shape[1]):
+            np.add.at(slope, cells[:, j], error)
+        turn = chain / n
+        np.add.at(turn, before[has_before], error[has_before])
+        np.add.at(turn.T, after[has_after], error[has_after])
+        pull = float((error * repeats).sum()) + (bond - BOND_PRIOR) / BOND_SPREAD**2 / n
+        pace_unary += slope**2
+        pace_chain += turn**2
+        pace_bond += pull**2
+        unary -= 0.3 * slope / np.sqrt(pace_unary)
+        chain -= 0.1 * turn / np.sqrt(pace_chain)
+        bond -= 0.1 * pull / np.sqrt(pace_bond)
+    return Field(unary, chain, max(float(bond), 0.0))
 
 
 def _skips(docs: list[list[Node]]) -> list[tuple[int, int]]:
@@ -252,14 +304,14 @@ def _anchors(docs: list[list[Node]]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def posteriors(field: Field, docs: list[list[Node]], guard: int = 1_000) -> np.ndarray:
+def posteriors(field: Field, docs: list[list[Node]], rounds: int = 1_000) -> np.ndarray:
     """Label probabilities of all candidates of several documents, by loopy message passing.
 
     The documents are one graph without edges between them, so each round is a few array
     operations.  Sure labels are fixed, and each candidate is joined to the nearest sure span it
     repeats, so none is farther from it than one step.  A document is passed on until its own
-    messages have settled; one that swings is damped more with time, and left after ``guard``
-    rounds.
+    messages have settled; one that swings is damped more with time.  Documents that still swing
+    after ``rounds`` rounds are finished by mean-field steps, which always settle.
     """
     flat = [n for own in docs for n in own]
     if not flat:
@@ -290,7 +342,7 @@ def posteriors(field: Field, docs: list[list[Node]], guard: int = 1_000) -> np.n
     doc = np.repeat(np.arange(len(docs)), [len(own) for own in docs])[into]
     live = np.arange(into.size)  # messages of documents that have not settled
     place = np.empty(into.size, np.int64)
-    for done in range(guard):
+    for done in range(rounds):
         place[live] = np.arange(live.size)
         own = message[live]
         belief = score.copy()
@@ -312,7 +364,32 @@ def posteriors(field: Field, docs: list[list[Node]], guard: int = 1_000) -> np.n
     belief = score.copy()
     np.add.at(belief, into, message)
     belief[fixed] = score[fixed]
-    return _softmax(belief)
+    p = _softmax(belief)
+    if live.size:
+        _mean_field(p, score, fixed, np.unique(into[live]), out_of, into, table)
+    return p
+
+
+def _mean_field(
+    p: np.ndarray, score: np.ndarray, fixed: np.ndarray, open_: np.ndarray, out_of: np.ndarray, into: np.ndarray, table: np.ndarray
+) -> None:
+    """Coordinate ascent on the nodes ``open_``, one after another, from the probabilities ``p``.
+
+    Each step raises the same bound, so the steps settle whatever the loops.
+    """
+    edges: dict[int, list[int]] = {int(i): [] for i in open_}
+    for k, i in enumerate(into.tolist()):
+        if i in edges:
+            edges[i].append(k)
+    moved = 1.0
+    while moved >= 1e-4:
+        moved = 0.0
+        for i, own in edges.items():
+            if fixed[i]:
+                continue
+            fresh = _softmax((score[i] + sum(p[out_of[k]] @ table[k] for k in own))[None, :])[0]
+            moved = max(moved, float(np.abs(fresh - p[i]).max()))
+            p[i] = fresh
 
 
 def _softmax(score: np.ndarray) -> np.ndarray:
@@ -347,7 +424,8 @@ def find(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
     comma-joined by kind and start.
 
     A null text is empty: no spans.  Base spans always stay; the field only adds spans that
-    overlap none of them.
+    overlap none of them.  Repeated rows get equal results; of labels with equal posteriors the
+    first counts.  Texts are read whole, however long.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(field)
