@@ -216,6 +216,7 @@ def test_hidden_repeats_are_found_and_clean_documents_left(spark):
     for text in texts:
         base = pii.base_spans(text)
         phones = [text[a:b].lstrip("+") for k, a, b in base if k == 3]
+        phones += [p.replace(" ", ".").replace("-", " ") for p in phones]
         if phones:
             longer = text + " and so on" * 30 + "".join(f" then {p} again," for p in phones)
             (_, spans), = pii.all_spans(field, [longer])
@@ -224,7 +225,7 @@ def test_hidden_repeats_are_found_and_clean_documents_left(spark):
         elif not base:
             (_, spans), = pii.all_spans(field, [text + " In 2023 about 1234567 people came; order 7654321."])
             clean, false = clean + 1, false + bool(spans)
-    assert hidden > 10 and found / hidden > 0.9, (found, hidden)
+    assert hidden >= 10 and found / hidden > 0.9, (found, hidden)
     assert clean > 300 and false == 0, (false, clean)
 
 

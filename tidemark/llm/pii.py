@@ -245,16 +245,18 @@ def train(
 def fit(
     label: np.ndarray, cells: np.ndarray, before: np.ndarray, after: np.ndarray, repeats: np.ndarray, rounds: int = 120
 ) -> Field:
-    """The field of highest penalised pseudo-likelihood, by scaled gradient steps."""
+    """The field of highest penalised pseudo-likelihood: scaled gradient steps in the weights, Newton
+    steps in the bond."""
     truth, n = np.eye(_LABELS)[label], label.size
     unary, chain, bond = np.zeros((_CELLS, _LABELS)), np.zeros((_LABELS, _LABELS)), BOND_PRIOR
     has_before, has_after = before >= 0, after >= 0
-    pace_unary, pace_chain, pace_bond = np.full_like(unary, 1e-6), np.full_like(chain, 1e-6), 1e-6
+    pace_unary, pace_chain = np.full_like(unary, 1e-6), np.full_like(chain, 1e-6)
     for _ in range(rounds):
         score = unary[cells].sum(axis=1) + bond * repeats
         score[has_before] += chain[before[has_before]]
         score[has_after] += chain.T[after[has_after]]
-        error = (_softmax(score) - truth) / n
+        p = _softmax(score)
+        error = (p - truth) / n
         slope = 1e-2 * unary / n
         for j in range(cells.shape[1]):
             np.add.at(slope, cells[:, j], error)
@@ -262,12 +264,13 @@ def fit(
         np.add.at(turn, before[has_before], error[has_before])
         np.add.at(turn.T, after[has_after], error[has_after])
         pull = float((error * repeats).sum()) + (bond - BOND_PRIOR) / BOND_SPREAD**2 / n
+        mean = (p * repeats).sum(axis=1)
+        curve = float(((p * repeats**2).sum(axis=1) - mean**2).sum() + 1 / BOND_SPREAD**2) / n
         pace_unary += slope**2
         pace_chain += turn**2
-        pace_bond += pull**2
         unary -= 0.3 * slope / np.sqrt(pace_unary)
         chain -= 0.1 * turn / np.sqrt(pace_chain)
-        bond -= 0.1 * pull / np.sqrt(pace_bond)
+        bond -= float(np.clip(0.5 * pull / curve, -0.5, 0.5))
     return Field(unary, chain, max(float(bond), 0.0))
 
 
