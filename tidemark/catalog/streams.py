@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import cte, query
 from tidemark.session import fresh_path, tune
+from tidemark.sources import folder_queue
 from tidemark.sources.messages import alert_json, read_published_files
 from tidemark.streaming import alerts as al
 from tidemark.streaming.cooldown import cooldown_batch
@@ -312,6 +313,28 @@ def _(wh):
     )
 
 
+@query("a16_queue_to_sent_alerts", f"select {_ALERT_OUT} from hour_alerts")
+def _(wh):
+    """Deliveries of a folder queue through the detector into a sink that commits each batch once."""
+    messages, events = wh["messages"], wh["events"]
+    spark, path = messages.sparkSession, fresh_path(messages.sparkSession, "queue")
+    times = events.agg(F.min("ts").cast("timestamp").alias("a"), F.max("ts").cast("timestamp").alias("b")).first()
+    span = f"{int((times.b - times.a).total_seconds()) + 3600} seconds" if times.a else "0 seconds"
+    for i in range(2):
+        folder_queue.publish(messages.filter(F.col("event_id") % 2 == i), f"{path}/queue")
+    stream = _stream_session(spark)
+
+    def run() -> None:
+        found = detect(folder_queue.read_queue(stream, f"{path}/queue"), THRESHOLD, LENGTH, lateness=span, now=_now())
+        folder_queue.send(found, f"{path}/sent", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    closing = '{"op":"c","ts_ms":4102444800000,"after":{"id":0}}'
+    folder_queue.publish(spark.range(1).select(F.lit(closing).alias("value")), f"{path}/queue")
+    run()
+    return read_alerts(folder_queue.read_sent(spark, f"{path}/sent"))
+
+
 cte("first_sent", "select min(window_start) as t from hour_alerts")
 
 
