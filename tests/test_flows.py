@@ -211,3 +211,25 @@ def test_incremental_bound_reaches_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(created_at,2024-02-28)" in plan.replace(" ", "")
     exact = since_timestamp(F.col("created_at").try_cast("timestamp"), 20240331)
     assert rows(found.filter(exact)) == rows(df.filter(exact)) and found.count() == 5
+
+
+def test_merge_with_an_index_reads_touched_months_only(spark, tmp_path):
+    """Rows move between months by key, null key parts too, while an unreadable other month stays."""
+    from tidemark.operators import incremental as inc
+
+    path, root = str(tmp_path / "m"), str(tmp_path)
+    schema = "a long, b long, v string, date_key int"
+    old = [(1, None, "x", 20240105), (1, 2, "x", 20240205), (2, 2, "x", 20240305), (3, 3, "x", 20240405)]
+    inc.write_by_month(spark.createDataFrame(old, schema), path, date_col="date_key")
+    index = flows.mart_index(spark, root, "m", 2)
+    index.create(inc.key_months(spark.read.parquet(path), ["a", "b"]))
+    for f in (tmp_path / "m" / "yyyymm=202404").glob("*.parquet"):
+        f.write_bytes(b"not a parquet file")
+    new = spark.createDataFrame([(1, None, "y", 20240301), (9, 9, "y", 20240102)], schema)
+    for _ in range(2):
+        inc.merge_into_partitions(spark, path, new, ["a", "b"], "date_key", index)
+        got = spark.read.schema(schema + ", yyyymm int").parquet(path).filter("yyyymm < 202404").drop("yyyymm")
+        assert rows(got) == sorted([(1, None, "y", 20240301), (9, 9, "y", 20240102), old[1], old[2]], key=repr)
+    assert index.read().count() == 5
+    index.drop()
+    assert not index.exists() and spark.catalog.listTables(index.name.split(".")[0]) == []

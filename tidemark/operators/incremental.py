@@ -9,11 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import int_key, key_to_date, shift_months, year_month
+from tidemark.operators.keyed import KeyedTable
+from tidemark.operators.layout import z_ordered
 from tidemark.operators.merge import _fail_on_duplicate_keys
 from tidemark.operators.rows import align_to_schema, all_of
 from tidemark.session import reliable_checkpoint
 
 FLOOR_KEY = 20000101
+_NO_MONTH = -1
 
 
 def high_key(target: DataFrame, key: str) -> int | None:
@@ -108,25 +111,39 @@ def _replaced_by(target: DataFrame, new: DataFrame, unique_key: Sequence[str]):
     return keys, all_of([target[k].eqNullSafe(keys[f"__{k}"]) for k in unique_key])
 
 
+def key_months(df: DataFrame, unique_key: Sequence[str]) -> DataFrame:
+    """``key, months``: a digest of each unique key, nulls included, and the months it is stored in
+    (one, unless the stored mart repeats a key)."""
+    key = F.md5(F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in unique_key]), {"ignoreNullFields": "false"}))
+    rows = df.select(key.alias("key"), F.coalesce(F.col("yyyymm").cast("int"), F.lit(_NO_MONTH)).alias("yyyymm"))
+    return rows.groupBy("key").agg(F.collect_set("yyyymm").alias("months"))
+
+
 def merge_into_partitions(
     spark: SparkSession,
     path: str,
     new: DataFrame,
     unique_key: Sequence[str],
     date_col: str,
+    index: KeyedTable | None = None,
 ) -> None:
     """Merge into a parquet mart laid out by month of ``date_col``; untouched months stay.
 
-    Months to rewrite are those of the new rows and those where a replaced row sits now.
+    Months to rewrite are those of the new rows and those where a replaced row sits now.  With
+    ``index``, a keyed table of ``key_months``, the latter are looked up there and no other month
+    of the mart is read; without, the whole mart is searched.
     The new rows are built once, into a reliable checkpoint, as they are read for the months,
     the rows they replace and the result.  The merged months go through another one, because
     files being read cannot be overwritten; the write is a dynamic partition overwrite.
     """
     target = spark.read.parquet(path)
     new = reliable_checkpoint(new.withColumn("yyyymm", year_month(date_col)))
-    months = new.select("yyyymm").union(
-        target.join(*_replaced_by(target, new, unique_key), "left_semi").select("yyyymm")
-    ).distinct()
+    if index is None:
+        held = target.join(*_replaced_by(target, new, unique_key), "left_semi").select("yyyymm")
+    else:
+        asked = key_months(new, unique_key).select("key")
+        held = index.find(asked).select(F.explode("months").alias("m")).select(F.nullif("m", F.lit(_NO_MONTH)).alias("yyyymm"))
+    months = new.select("yyyymm").union(held).distinct()
     # One small integer per month of history.
     touched = [r.yyyymm for r in months.collect()]
     if not touched:
@@ -136,21 +153,27 @@ def merge_into_partitions(
         part = part | F.col("yyyymm").isNull()
     merged = incremental_merge(target.filter(part), new, unique_key)
     write_by_month(reliable_checkpoint(merged), path, dynamic=True)
+    if index is not None:
+        index.merge(key_months(new, unique_key), source_is_unique=True)
 
 
 def write_by_month(
     df: DataFrame, path: str, cluster: Sequence[str] = (), dynamic: bool = False,
-    date_col: str | None = None,
+    date_col: str | None = None, interleave: bool = False,
 ) -> None:
     """Parquet partitioned by ``YYYYMM`` and sorted by the cluster columns inside each file.
 
     ``rebalance`` lets adaptive execution size the files, splitting a month that holds
-    far more rows than the others.
+    far more rows than the others.  With ``interleave`` the files follow a curve through all
+    cluster columns, for marts that are filtered by any of them; that reads ``df`` twice.
     """
     if date_col is not None:
         df = df.withColumn("yyyymm", year_month(date_col))
-    out = df.hint("rebalance", "yyyymm")
-    if cluster:
+    if interleave and len(cluster) > 1:
+        out = z_ordered(df, cluster, within=["yyyymm"])
+    else:
+        out = df.hint("rebalance", "yyyymm")
+    if cluster and not (interleave and len(cluster) > 1):
         out = out.sortWithinPartitions("yyyymm", *cluster)
     writer = out.write.mode("overwrite").partitionBy("yyyymm")
     if dynamic:

@@ -151,6 +151,15 @@ class KeyedTable:
         self._publish({**state, "base": base, "changes": None, "base_rows": rows, "changed_rows": 0})
         return True
 
+    def drop(self) -> None:
+        """Drop the table with all its states, if it is there."""
+        if not self.exists():
+            return
+        named = {t for pair in self.state()["history"] for t in pair if t}
+        self.spark.sql(f"drop view {self.name}")
+        for table in sorted(named):
+            self.spark.sql(f"drop table if exists {table}")
+
     def expire(self, keep: int = 2) -> list[str]:
         """Drop the tables that only states before the last ``keep`` named; gives their names."""
         state = self.state()

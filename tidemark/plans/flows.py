@@ -176,6 +176,12 @@ def _bound_options(options: Sequence[str], high: int, legacy: bool) -> dict[str,
     return {name: known[name] for name in options if name in known}
 
 
+def mart_index(spark: SparkSession, root: str, mart: str, buckets: int = 32) -> KeyedTable:
+    """Which month each key of a mart is stored in, so that a merge reads touched months only."""
+    name = database(spark, f"marts_{md5(root.encode()).hexdigest()[:12]}", f"{root}/_index")
+    return KeyedTable(spark, f"{name}.{mart}", ["key"], buckets, when=None)
+
+
 class BuildFailed(RuntimeError):
     """Some models were not built; ``status`` has all of them."""
 
@@ -245,10 +251,16 @@ def _build_one(
         if not options:
             bound = inc.lower_bound(high, days=31, legacy_key_math=legacy_key_math)
             fresh = fresh.filter(F.col(date_col) >= bound)
-        inc.merge_into_partitions(spark, path, fresh, m.unique_key, date_col)
+        index = mart_index(spark, root, m.name)
+        if not index.exists():
+            index.create(inc.key_months(spark.read.parquet(path), m.unique_key), source_is_unique=True)
+        inc.merge_into_partitions(spark, path, fresh, m.unique_key, date_col, index)
+        index.compact(0.1)
+        index.expire()
         how = "merged"
     elif incremental:
         inc.write_by_month(dated(wh[m.name]), path, m.cluster, date_col=date_col)
+        mart_index(spark, root, m.name).drop()  # made anew from what is stored when it is needed
     else:
         files.write_next_version(spark, wh[m.name], path)
     table = (
