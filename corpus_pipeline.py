@@ -1,4 +1,8 @@
-"""From raw documents to packed sequences: language, copies, near copies, mixture, packing."""
+"""From raw documents to packed sequences: language, copies, near copies, mixture, packing.
+
+Every stage takes an empty table (and gives one), nulls in any column, repeated rows, long texts,
+and further columns whatever their names; all but the last give back the columns they got.
+"""
 
 from __future__ import annotations
 
@@ -10,10 +14,12 @@ from tidemark.session import tune
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that have a language; those without any letter, and null texts, go."""
+    """Keep the documents that have a language; those without any letter, and null texts, go.
+
+    Where no row tells a language there is none to learn, and the letters alone decide.
+    """
     small_batches(tune(spark))
-    model = langid.train(docs)
-    return langid.keep_identified(docs, model) if model.languages else docs
+    return langid.keep_identified(docs, langid.train(docs))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
