@@ -76,7 +76,9 @@ def drift_report(df: DataFrame, payload: str, columns: Mapping[str, str], groups
     known = seen.join(contract, "field", "left").withColumn("status", status)
     out = [*groups, "field", "status", "seen_type", "expected_type", "n"]
     present = seen.groupBy(*groups, "field").agg(F.sum("n").alias("__present"))
-    listed = totals.crossJoin(contract) if not groups else totals.join(contract, F.lit(True))
+    # The contract's columns beside each group's totals, without a join.
+    columns_of = F.array(*[F.struct(F.lit(n).alias("field"), F.lit(t).alias("expected_type")) for n, t, _ in expected])
+    listed = totals.select(*groups, "__objects", F.inline(columns_of))
     g = [F.col(f"l.{c}").eqNullSafe(F.col(f"p.{c}")) for c in [*groups, "field"]]
     condition = g[0]
     for more in g[1:]:

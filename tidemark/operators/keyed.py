@@ -15,6 +15,7 @@ the tables shall (a metastore on a cluster).
 
 from __future__ import annotations
 
+import base64
 import json
 import uuid
 from collections.abc import Sequence
@@ -59,7 +60,7 @@ class KeyedTable:
     def state(self) -> dict:
         """What the view names: ``base, changes, base_rows, changed_rows, run, history``."""
         rows = self.spark.sql(f"show tblproperties {self.name} ('{_STATE}')").collect()
-        return json.loads(rows[0]["value"])
+        return json.loads(base64.b64decode(rows[0]["value"]))
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -89,7 +90,7 @@ class KeyedTable:
         """Let the view name a new state; the pairs of tables of earlier ones go to its history."""
         pair = [state["base"], state["changes"]]
         state["history"] = [pair, *(h for h in state.get("history", []) if h != pair)]
-        text = json.dumps(state).replace("'", "")
+        text = base64.b64encode(json.dumps(state).encode()).decode()  # nothing that SQL would read
         body = self._merged_sql(state) if state["changes"] else f"select * from {state['base']}"
         self.spark.sql(f"create or replace view {self.name} tblproperties ('{_STATE}' = '{text}') as {body}")
 
