@@ -2,8 +2,10 @@
 
 import duckdb
 import pytest
-from conftest import SMALL
+from conftest import SMALL, rows
 from oracle_check import compare, duck
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from tidemark.bindings import BASE_TABLES
 
@@ -46,3 +48,27 @@ def hot(tmp_path_factory):
 def test_hot_key(spark, hot, name):
     folder, con = hot
     assert compare(spark, con, name, folder) is None
+
+
+def test_rank_of_a_hot_partition_with_continuous_values(spark):
+    """Every window sees one band of the values, or one row for each band."""
+    from tidemark.operators.rows import rank_within, value_band
+
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+        F.when(F.col("id") % 97 == 5, None).when(F.col("id") % 89 == 7, F.lit(2.5))
+        .otherwise(F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1000.0 - 300.0).alias("v"),
+    )
+    plain = df.withColumn("rank", F.rank().over(Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last())))
+    assert rows(rank_within(df, ["k"], "v")) == rows(plain)
+    bands = df.filter("k = 'hot'").groupBy(value_band(F.col("v"))).count().agg(F.count(F.lit(1)), F.max("count")).first()
+    assert bands[0] > 100 and bands[1] < 1500
+
+
+def test_bands_rise_with_the_value(spark):
+    from tidemark.operators.rows import value_band
+
+    values = [float("-inf"), -1e300, -5.0, -0.1, 0.0, 1e-9, 0.02, 1.0, 3.0, 3.1, 1e18, 1e300, float("inf"), float("nan")]
+    got = [r[0] for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").orderBy("i").select(value_band(F.col("v"))).collect()]
+    assert got == sorted(got)
+    assert spark.range(1).select(value_band(F.lit(None).cast("double"))).first()[0] is None

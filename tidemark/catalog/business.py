@@ -62,8 +62,8 @@ def _(wh):
     f as (select prescription_date_key as date_key, sum(coalesce(price_included_vat, price)) as fact_total
           from fact_prescription_valid where doctor_key in (select doctor_key from dim_clinic_doctors)
             and clinic_key in (select clinic_key from dim_clinics) group by 1)
-    select coalesce(m.date_key, f.date_key) as date_key, round(coalesce(mart_total, 0)::double, 2) as mart_total,
-           round(coalesce(fact_total, 0)::double, 2) as fact_total
+    select coalesce(m.date_key, f.date_key) as date_key, round(coalesce(mart_total, 0)::double, 4) as mart_total,
+           round(coalesce(fact_total, 0)::double, 4) as fact_total
     from m full join f on m.date_key = f.date_key
     where abs(coalesce(mart_total, 0)::double - coalesce(fact_total, 0)::double) > 0.001""",
 )
@@ -76,7 +76,7 @@ def _(wh):
     found = business.differing_totals(
         mart, facts, ["date_key"], F.col("total_value"), F.coalesce("price_included_vat", "price"), tolerance=0.001
     )
-    return found.select("date_key", F.round("mart_total", 2).alias("mart_total"), F.round("fact_total", 2).alias("fact_total"))
+    return found.select("date_key", F.round("mart_total", 4).alias("mart_total"), F.round("fact_total", 4).alias("fact_total"))
 
 
 @query(

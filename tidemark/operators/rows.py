@@ -47,28 +47,50 @@ def one_per_key(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     )
 
 
+#: Bands of a value for each doubling of it.
+_BANDS = 64
+
+
+def value_band(value: Column) -> Column:
+    """A whole number that rises with a numeric value, some thousands in all; null for null.
+
+    Values of different bands are ordered by their bands.
+    """
+    v = value.cast("double")
+    band = F.signum(v) * F.floor(F.least(F.log2(F.abs(v) + 1) * _BANDS, F.lit(1e5)))
+    return F.when(F.isnan(v), 1_000_000).otherwise(F.when(~F.isnan(v), band)).cast("long")
+
+
 def rank_within(
     df: DataFrame, partition: Sequence[str], value: str, name: str = "rank"
 ) -> DataFrame:
-    """Descending ``rank()`` of ``value`` inside ``partition``.
+    """Descending ``rank()`` of a numeric ``value`` inside ``partition``.
 
-    Rows are first reduced to one row per distinct value with its count; only that
-    histogram goes through the window, and the ranks are joined back on
-    (partition, value).  A partition holding a third of all rows is thus spread over
-    many join keys, where a plain ``rank()`` would sort it in one task.
+    Rows are first reduced to one row per distinct value with its count.  That histogram is
+    ordered inside bands of the value only, and the bands' sums, a few thousand in a partition,
+    tell how many rows are above each band.  The ranks are joined back on (partition, value).  A
+    partition holding a third of all rows, all of different values, is thus spread over its
+    bands, where a plain ``rank()`` would sort it in one task.
     """
-    histogram = df.groupBy(*partition, value).agg(F.count(F.lit(1)).alias("__n"))
-    above = (
-        Window.partitionBy(*partition)
-        .orderBy(F.col(value).desc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
+    keys = list(partition)
+    histogram = df.groupBy(*keys, value_band(F.col(value)).alias("__band"), value).agg(F.count(F.lit(1)).alias("__n"))
+    before = lambda by, order: (
+        Window.partitionBy(*by).orderBy(F.col(order).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    bands = histogram.groupBy(*keys, "__band").agg(F.sum("__n").alias("__n"))
+    above = bands.select(
+        *[F.col(c).alias(f"__{c}") for c in keys],
+        F.col("__band").alias("__of"),
+        F.coalesce(F.sum("__n").over(before(keys, "__band")), F.lit(0)).alias("__above"),
     )
-    ranks = histogram.select(
-        *[F.col(c).alias(f"__{c}") for c in (*partition, value)],
-        (F.coalesce(F.sum("__n").over(above), F.lit(0)) + 1).cast("int").alias(name),
+    inside = histogram.withColumn("__inside", F.coalesce(F.sum("__n").over(before([*keys, "__band"], value)), F.lit(0)))
+    met = all_of([F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys] + [F.col("__band").eqNullSafe(F.col("__of"))])
+    ranks = inside.join(above, met).select(
+        *[F.col(c).alias(f"__{c}") for c in (*keys, value)],
+        (F.col("__above") + F.col("__inside") + 1).cast("int").alias(name),
     )
-    on = all_of([F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (*partition, value)])
-    return df.join(ranks, on, "inner").drop(*[f"__{c}" for c in (*partition, value)])
+    on = all_of([F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (*keys, value)])
+    return df.join(ranks, on, "inner").drop(*[f"__{c}" for c in (*keys, value)])
 
 
 def next_time_after(
