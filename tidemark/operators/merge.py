@@ -247,12 +247,17 @@ def apply_run(
     target: DataFrame | None,
     stage: DataFrame,
     contract: Contract,
-    watermark: DataFrame,
+    watermark: DataFrame | None = None,
     zone: str = "UTC",
 ) -> DataFrame:
-    """One merge run: scope to new events, newest per key, then upsert."""
+    """One merge run: scope to new events, newest per key, then upsert.
+
+    A watermark drops what it passed, also the late first event of a key.  Without one every
+    event of the run is held against the stored row of its own key, and none is lost.
+    """
     base = create_if_absent(target, stage, contract, zone)
     if target is None:
         return base
-    fresh = latest_per_key(above_watermark(stage, watermark), contract, zone)
+    new = stage if watermark is None else above_watermark(stage, watermark)
+    fresh = latest_per_key(new, contract, zone)
     return merge_upsert(base, fresh, contract.primary_key, source_is_unique=True)
