@@ -500,6 +500,18 @@ def test_breaches_sustained_and_against_another_metric(spark):
     assert rows(mon.breaches(series, limits, span_minutes=10).filter("metric = 'r'").select(F.minute("ts"))) == [(20,), (30,)]
 
 
+def test_newest_points_meet_every_limit(spark):
+    import __spark_entry__ as entry
+    from tidemark.plans import monitor as mon
+
+    limits = [mon.Limit("r", ">", 0.5, minutes=15), mon.Limit("s", "<", 1.0)]
+    newest = frame(spark, "metric string, labels string, value double", ("r", "l", 0.9), ("s", "l", 0.9), ("r", "q", 0.1))
+    found = mon.breaches(newest, limits, pending=True).select("metric", "labels", "minutes")
+    assert rows(found) == [("r", "l", 15), ("s", "l", 0)]
+    sql = entry.oracle_sql()["m14_threshold_breaches"]
+    assert [x.metric for x in mon.LIMITS if f"'{x.metric}'" not in sql] == []
+
+
 def test_breaches_start_anew_after_a_good_point_or_a_gap(spark):
     from tidemark.plans import monitor as mon
 

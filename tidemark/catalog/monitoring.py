@@ -400,6 +400,9 @@ def _(wh):
     "m14_threshold_breaches",
     """select s.*, op, bound, severity, minutes from series_rows s join (values
          ('ops/watermark/mins_since_update', '>', 180.0::double, 'warning', 0::bigint),
+         ('ops/jobs/failed_ratio', '>', 0.05, 'warning', 15),
+         ('ops/scheduler/success_ratio', '<', 0.95, 'warning', 30),
+         ('ops/stream/error_events', '>', 0, 'warning', 15),
          ('ops/silver/freshness_lag_minutes', '>', 120, 'warning', 0),
          ('ops/dag/restore_buffer_minutes', '<', 0, 'critical', 0)) l(metric, op, bound, severity, minutes)
          using (metric)
@@ -410,8 +413,8 @@ def _(wh):
        from slo_rows where recovery_time_minutes > restore_window_minutes""",
 )
 def _(wh):
-    """The newest points alone: limits that must hold for a time cannot be told from them."""
-    return mon.breaches(_series(wh))
+    """The newest points against every limit; ``minutes`` tells how long a breach must hold to fire."""
+    return mon.breaches(_series(wh), pending=True)
 
 
 def _held_sql(points: str, span: int) -> str:
