@@ -116,6 +116,15 @@ def test_merged_sketches_stay_in_their_band(spark):
     assert [r["in_band"] for r in sketches.rank_band(df, ["k"], "v", wrong, "p95", 0.95).collect()] == [False, False]
 
 
+def test_bitmaps_of_scattered_ids_stay_as_small_as_their_rows(spark):
+    df = spark.range(2000).selectExpr("id % 4 as day", "case when id % 3 = 0 then null else id * 1000003 - 500000000 end as id")
+    daily = bitmaps.id_bitmaps(df.unionByName(df), ["day"], F.col("id"))
+    assert daily.count() <= 2000 and dict(daily.dtypes)["ids"] == "bigint"  # a word for each id, not pages of zeros
+    assert "SortAggregate" not in daily._jdf.queryExecution().executedPlan().toString()
+    got = {r.day: r.n for r in bitmaps.distinct_counts(daily, ["day"], "n").collect()}
+    assert got == {r.day: r.n for r in df.groupBy("day").agg(F.countDistinct("id").alias("n")).collect()}
+
+
 def test_bitmaps_unite_to_exact_counts(spark):
     data = [(d, g, i) for d in range(10) for g in "ab" for i in {d, d * 40_000, 7, None, (d + 3) % 10}]
     df = spark.createDataFrame(data, "day int, g string, id long")
