@@ -1,11 +1,11 @@
 """Hand cases of the medicine and company rules."""
 
 import pytest
-from conftest import rows
+from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
 from tidemark.functions import drugs
-from tidemark.plans.medicines import drug_codes, repair_swapped
+from tidemark.plans.medicines import drug_codes, drug_codes_by_text, repair_swapped
 
 CODES = [
     # substance, strength, code
@@ -88,3 +88,25 @@ def test_no_shuffle_and_no_python(spark, wh):
     plan = drug_codes(wh["medicines"])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
     assert repair_swapped(wh["medicines"]).count() == wh["medicines"].count()
+
+
+@pytest.mark.parametrize("name", ["k13_company_code", "k14_master_drug_code", "k15_master_drug_code_extra"])
+def test_rules_run_once_for_each_text(spark, name):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    # Every rule stands above an aggregate that leaves one row for each text, and only once.
+    first = "cong\\s+ty"
+    assert plan.count(first) == 1 and "Aggregate [" in plan[plan.index(first):]
+
+
+def test_codes_by_text_equal_codes_by_row(spark):
+    texts = [(a, s) for a, s, _ in CODES] + [(None, None), ("", None), (" Paracetamol", "1 g")]
+    makers = [m for m, _, _ in COMPANIES] + [None, ""]
+    df = spark.createDataFrame(
+        [(str(i), f"n{i}", *texts[i % len(texts)], makers[i % len(makers)]) for i in range(300)],
+        "id string, name string, active_element string, concentration string, manufacturer string",
+    )
+    for extra in (False, True):
+        want, got = drug_codes(df, extra), drug_codes_by_text(df, extra)
+        assert got.columns == want.columns and rows(got) == rows(want)

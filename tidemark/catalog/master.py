@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog.registry import cte, query
 from tidemark.functions import drugs
 from tidemark.functions import text as tx
-from tidemark.plans.medicines import drug_codes, repair_swapped
+from tidemark.plans.medicines import drug_codes_by_text, repair_swapped, with_companies
 from tidemark.plans.people import master_patients
 
 # --- patients ------------------------------------------------------------------------------
@@ -374,13 +374,7 @@ def _(wh):
     "select m.id, m.name, manufacturer_normalized, manufacturer_code from drug_table d join med_rows m on m.rid = d.rid",
 )
 def _(wh):
-    made_by = F.col("manufacturer")
-    return wh["medicines"].select(
-        "id",
-        "name",
-        drugs.normalize_company(made_by).alias("manufacturer_normalized"),
-        drugs.company_code(made_by).alias("manufacturer_code"),
-    )
+    return with_companies(wh["medicines"]).select("id", "name", "manufacturer_normalized", "manufacturer_code")
 
 
 @query(
@@ -388,7 +382,7 @@ def _(wh):
     f"select * exclude (rid, manufacturer_normalized), {_MASTER} from drug_table",
 )
 def _(wh):
-    return drug_codes(wh["medicines"])
+    return drug_codes_by_text(wh["medicines"])
 
 
 @query(
@@ -400,4 +394,4 @@ def _(wh):
                from med_pairs where code <> '' group by rid, code) group by rid) p on p.rid = d.rid""",
 )
 def _(wh):
-    return drug_codes(wh["medicines"], extra=True)
+    return drug_codes_by_text(wh["medicines"], extra=True)

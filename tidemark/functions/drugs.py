@@ -370,6 +370,11 @@ def drop_repeat(c: Column) -> Column:
 
 def company_code(c: Column) -> Column:
     """First four letters of a single word, else initials with short unit numbers in full."""
+    return code_of_normal(normalize_company(c))
+
+
+def code_of_normal(normal: Column) -> Column:
+    """``company_code`` of a name that is normalised already."""
 
     def code(words: Column) -> Column:
         initials = F.transform(
@@ -378,4 +383,4 @@ def company_code(c: Column) -> Column:
         single = F.substring(F.get(words, F.lit(0)), 1, 4)
         return F.upper(F.when(F.size(words) == 1, single).otherwise(F.array_join(initials, "")))
 
-    return _let(F.split(normalize_company(c), " "), code)
+    return _let(F.split(normal, " "), code)

@@ -50,5 +50,43 @@ def drug_codes(medicines: DataFrame, extra: bool = False) -> DataFrame:
             else []
         ),
     )
+    return _with_master_code(coded)
+
+
+def _with_master_code(coded: DataFrame) -> DataFrame:
     joined = F.concat(F.upper(F.trim("drug_code")), F.lit("__"), F.upper(F.trim("manufacturer_code")))
     return coded.withColumn("master_drug_code", F.btrim(joined, F.lit("_")))
+
+
+def companies(medicines: DataFrame) -> DataFrame:
+    """``__made_by``, ``manufacturer_normalized``, ``manufacturer_code`` of each different maker."""
+    makers = medicines.select(F.col("manufacturer").cast("string").alias("__made_by")).distinct()
+    named = makers.withColumn("manufacturer_normalized", drugs.normalize_company(F.col("__made_by")))
+    return named.withColumn("manufacturer_code", drugs.code_of_normal(F.col("manufacturer_normalized")))
+
+
+def with_companies(medicines: DataFrame) -> DataFrame:
+    """The rows with the name and code of their maker, worked out once for each different text."""
+    same = F.col("manufacturer").eqNullSafe(F.col("__made_by"))
+    return medicines.join(companies(medicines), same, "left").drop("__made_by")
+
+
+def drug_codes_by_text(medicines: DataFrame, extra: bool = False) -> DataFrame:
+    """As ``drug_codes``, but the rules run once for each different text and are joined back.
+
+    The rules cost about a third of a millisecond a row, and a small file is few tasks; different
+    texts are fewer, and their shuffle spreads them.
+    """
+    text = medicines.select(*[F.col(c).cast("string").alias(c) for c in INPUT])
+    nothing = F.lit(None).cast("string")
+    texts = text.select("active_element", "concentration").distinct()
+    found = drug_codes(texts.select(*[(F.col(c) if c in texts.columns else nothing).alias(c) for c in INPUT]), extra)
+    found = found.select(
+        F.col("active_element").alias("__a"), F.col("concentration").alias("__c"), "drug_code", *(["pairs"] if extra else [])
+    )
+    same = F.col("active_element").eqNullSafe(F.col("__a")) & F.col("concentration").eqNullSafe(F.col("__c"))
+    coded = with_companies(text).join(found, same, "left").select(
+        F.col("id").alias("source_medicine_id"), *INPUT[1:], "drug_code", "manufacturer_code",
+        *(["manufacturer_normalized", "pairs"] if extra else []),
+    )
+    return _with_master_code(coded)
