@@ -161,3 +161,51 @@ def test_history_rows(spark):
     r = al.history_rows(al.with_alert_key(df), F.lit(NOW)).first()
     assert (r.alert_key, r.source_table, r.emitted) == ("t|unknown", "unknown", True)
     assert json.loads(r.payload_json)["alert_key"] == "t|unknown" and len(r.alert_id) == 40
+
+
+def test_alert_state_takes_rows():
+    """Plain rows go through the state of a key with one read, one write and its own timer."""
+    from pyspark.sql import Row
+
+    from tidemark.streaming.alert_state import AlertState
+
+    class Handle:
+        value, calls = None, []
+
+        def getValueState(self, *_):
+            return self
+
+        def get(self):
+            self.calls.append("get")
+            return self.value
+
+        def update(self, value):
+            self.calls.append("update")
+            self.value = value
+
+        def registerTimer(self, at):
+            self.calls.append(("timer", at))
+
+        def deleteTimer(self, at):
+            self.calls.append(("no timer", at))
+
+    def alert(second, n):
+        return Row(alert_key="a", event_time=dt.datetime(2024, 1, 1, 0, 0, second, tzinfo=dt.timezone.utc), total_events=n)
+
+    handle, state = Handle(), AlertState("event_time", cooldown=10, retention=100, event_time=True)
+    state.init(handle)
+    out = list(state.handleInputRows(("a",), iter([alert(12, 3), alert(0, None), alert(9, 2)]), None))
+    assert [(r.event_time.second, r.emitted) for r in out] == [(0, True), (9, False), (12, True)]
+    base = 1_704_067_200
+    assert handle.value[3:] == (
+        (base + 12) * 10**6, (base + 12) * 10**6, '{"alert_key":"a","event_time":"2024-01-01T00:00:12","total_events":3}', 3, 1
+    )
+    assert [r.emitted for r in state.handleInputRows(("a",), iter([alert(5, 1)]), None)] == [False]  # late: no news
+    assert handle.value[5].endswith('"total_events":3}') and handle.value[6:] == (4, 2)
+    list(state.handleInputRows(("a",), iter([alert(30, 1)]), None))
+    assert handle.calls == [
+        "get", "update", ("timer", (base + 112) * 1000), "get", "update",
+        "get", "update", ("no timer", (base + 112) * 1000), ("timer", (base + 130) * 1000),
+    ]
+    late = [r.emitted for r in state.handleInputRows(("a",), iter([Row(alert_key="a", event_time=None, total_events=1), alert(50, 1)]), None)]
+    assert late == [True, False]  # one without a time comes last and is held back
