@@ -586,3 +586,36 @@ def test_one_pair_for_each_code(spark):
     df = spark.createDataFrame([(1, "n", "Aspirine one; Aspirine two", "81 mg; 100 mg", "m")],
                                "id long, name string, active_element string, concentration string, manufacturer string")
     assert drug_codes(df, extra=True).first()["pairs"] == "aspirine one::81MG"
+
+
+@pytest.mark.parametrize("name", ["i09_slow_moving_items"])
+def test_inventory_marts_make_line_keys_once(spark, name):
+    """The lines' hashed key is stored once; no reader of it goes back to the raw lines."""
+    import __spark_entry__ as entry
+
+    files = entry.queries()[name](spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and not [f for f in files if "/lineitem.parquet" in f]
+
+
+def test_null_tests_make_no_key(spark):
+    """A null test on a key looks at the text the key is made of."""
+    from tidemark.functions.keys import surrogate_key
+
+    df = spark.range(4).selectExpr("nullif(id, 2) as id", "cast(id as string) as other")
+    keyed = df.select(surrogate_key("id").alias("one"), surrogate_key("id", "other").alias("two"))
+    assert keyed.filter("one is null and two is null").count() == 1
+    plan = keyed.filter("one is not null and two is not null")._jdf.queryExecution().optimizedPlan().toString()
+    (where,) = [line for line in plan.splitlines() if "Filter" in line]
+    assert "md5" not in where
+
+
+def test_loose_dates_of_odd_texts(spark):
+    from tidemark.functions.dates import loose_date
+
+    want = {
+        "2001-02-03": "2001-02-03", "2001-13-03": None, "3/4/2001": "2001-04-03", "31/12/2001": "2001-12-31", "{2001-02-03 00:00:00, 0}": "2001-02-03",
+        "x 2001-02-": None, "2001-02-30": None, "abcd-ef-gh": None, "2001-1-2": "2001-01-02", "2001": "2001-01-01", "": None, "1/2/99": None,
+        "2001-02- 3": None, "１２３４-０５-０６": None, "x2001-02-03": "2001-02-03",
+    }
+    df = spark.createDataFrame([(t,) for t in want], "t string").select("t", loose_date("t").cast("string").alias("d"))
+    assert {r.t: r.d for r in df.collect()} == want

@@ -16,6 +16,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import fresh_path
+
 AS_OF = dt.date(2001, 8, 1)
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -424,6 +426,12 @@ class Tables(Mapping):
             self._n_suppliers = self["supplier"].count()
         return self._n_suppliers
 
+    def store(self, name: str) -> None:
+        """Write a derived table to the shared folder; tables derived from it later read it there."""
+        path = fresh_path(self._spark, name)
+        self[name].write.parquet(path)
+        self._made[name] = self._spark.read.schema(self[name].schema).parquet(path)
+
     def _derive(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
             return self._spark.read.parquet(f"{self._folder}/{name}.parquet")

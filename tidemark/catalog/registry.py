@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +21,14 @@ CTES: dict[str, str] = oracle_ctes()
 _SOURCE = re.compile(r"\b(?:from|join)\s+([a-z_][a-z0-9_]*)", re.IGNORECASE)
 
 
-def warehouse(spark: SparkSession, folder: str, **options) -> Warehouse:
-    """Models over one data folder; the calendar spans the order dates plus one year."""
+def warehouse(spark: SparkSession, folder: str, stored: Sequence[str] = (), **options) -> Warehouse:
+    """Models over one data folder; the calendar spans the order dates plus one year.
+
+    Derived tables named in ``stored`` are written once, for models that read them several times.
+    """
     tables = Tables(tune(spark), folder)
+    for name in stored:
+        tables.store(name)
     wh = Warehouse(tables, **{"as_of": AS_OF, **options})
     wh.put("dim_date", dim_date_covering(tables["orders"], "o_orderdate"))
     return wh
@@ -44,12 +49,12 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def query(name: str, oracle: str | None = None):
-    """Register ``fn(warehouse) -> DataFrame`` under ``name`` with its check SQL."""
+def query(name: str, oracle: str | None = None, stored: Sequence[str] = ()):
+    """Register ``fn(warehouse) -> DataFrame`` under ``name`` with its check SQL; ``stored`` as in ``warehouse``."""
 
     def wrap(fn: Callable[[Warehouse], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return flat(fn(warehouse(spark, folder)))
+            return flat(fn(warehouse(spark, folder, stored)))
 
         run.__name__ = name
         QUERIES[name] = run
@@ -60,8 +65,8 @@ def query(name: str, oracle: str | None = None):
     return wrap
 
 
-def model_query(name: str, model: str, oracle: str) -> None:
-    query(name, oracle)(lambda wh: wh[model])
+def model_query(name: str, model: str, oracle: str, stored: Sequence[str] = ()) -> None:
+    query(name, oracle, stored)(lambda wh: wh[model])
 
 
 def cte(name: str, sql: str) -> None:

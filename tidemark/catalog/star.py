@@ -23,6 +23,8 @@ def loose_date(c: str) -> str:
 
 
 AS_OF = "date '2001-08-01'"
+#: Marts of the inventory read the lines several times, under a key that is dear to make.
+_LINES = ("lines_with_lot",)
 
 # --- dimensions -----------------------------------------------------------------------
 
@@ -605,6 +607,7 @@ model_query(
     join dim_medicines m on m.medicine_key = s.medicine_key
     left join fact_inventory_import_valid i on i.clinic_key = s.clinic_key and i.lot_key = s.lot_key
     left join dim_date d on d.date_key = i.date_key""",
+    stored=_LINES,
 )
 model_query(
     "i10_doctor_bookings_monthly",

@@ -80,12 +80,15 @@ def loose_date(c: Column | str) -> Column:
     """Date from ``dd/MM/yyyy``, from the first ISO date in the text, or by plain cast.
 
     The day-first form is turned round by pattern and then cast: a pattern-based date
-    parser would raise and catch an exception for every text in another form.
+    parser would raise and catch an exception for every text in another form.  A text that has
+    the ten places of an ISO date can be no other form, and is cast without looking for patterns.
     """
     text = _col(c).cast("string")
+    iso = (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
     turned = F.regexp_replace(text, _DAY_FIRST, "$3-$2-$1")
     day_first = F.when(text.rlike(_DAY_FIRST), turned.try_cast("date"))
-    return F.coalesce(day_first, iso_date_in(text), text.try_cast("date"))
+    plain = text.try_cast("date")
+    return F.when(iso, plain).otherwise(F.coalesce(day_first, iso_date_in(text), plain))
 
 
 def strict_timestamp(c: Column | str, fraction: bool) -> Column:
