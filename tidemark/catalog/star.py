@@ -559,6 +559,7 @@ model_query(
            coalesce(p.n, 0) as items_sold_prev_month, s.q < coalesce(p.n, 0) as is_low_stock
     from stock s left join sold p using (clinic_key, medicine_key)
     join dim_clinics c using (clinic_key) join dim_medicines m using (medicine_key)""",
+    stored=_LINES,
 )
 model_query(
     "i07_near_expiry_drugs",
@@ -570,6 +571,7 @@ model_query(
                 else 'green' end as urgent_level
     from fact_inventory_snapshot_valid f join dim_medicines_lot l using (lot_key)
     join dim_clinics c using (clinic_key) join dim_medicines m using (medicine_key)""",
+    stored=_LINES,
 )
 query(
     "i08_prescription_value_daily",
