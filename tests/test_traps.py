@@ -588,7 +588,7 @@ def test_one_pair_for_each_code(spark):
     assert drug_codes(df, extra=True).first()["pairs"] == "aspirine one::81MG"
 
 
-@pytest.mark.parametrize("name", ["i06_low_stock_items", "i07_near_expiry_drugs", "i09_slow_moving_items"])
+@pytest.mark.parametrize("name", ["i06_low_stock_items", "i07_near_expiry_drugs", "i09_slow_moving_items", "j13_business_rules"])
 def test_inventory_marts_make_line_keys_once(spark, name):
     """The lines' hashed key is stored once; no reader of it goes back to the raw lines."""
     import __spark_entry__ as entry

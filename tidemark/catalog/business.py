@@ -50,6 +50,7 @@ def _counted(model: str, table: str, rules: dict[str, str]) -> str:
             "average_follows_total": "abs(avg_price_effective * prescription_count - total_value) <= 0.0001 * prescription_count",
         },
     ),
+    stored=("lines_with_lot",),
 )
 def _(wh):
     return business.check_marts({name: wh[name] for name in _CHECKED})
