@@ -92,3 +92,24 @@ def test_plan_covers_and_comes_near_the_bound():
         bound = solve(sizes, counts.astype(float), 64)[1].sum()
         assert sum(t for _, t in patterns) <= bound * 1.001 + 64
     assert plan({}, 64) == []
+
+
+def test_simple_words_need_no_encoder():
+    """Words of letters and marks get their ids from the merges; all ids stay those of the plain call."""
+    plain, words = Tokenizer.from_file(PATH), WordTokens(PATH, remember=20)
+    odd = [
+        "", " ", "\x0b a\x0cb\r\n\tc  ", "Don't I'm we'll", "naïve, ÉCOLE!! ÿß µm ªº Ñandú&&&", "ΣΑΣ Σας İstanbul ﬁn", "x\x85y a\xa0b \x1cq",
+        "été café.", "a1b2 ١٢ 3,5%", "--- ... $% _a_ a_b a-b (c) <|x|>", "end<|endoftext|>of <|EndOfText|>!", "日本 текст, 한국어!",
+        "é<|startoftext|>É", "over the 'quoted' words", "�?", "a" * 3000, "Ωmega≠", "é" * 700 + "!?",
+    ]
+    for texts in (odd, odd[::-1], [], ["", ""], [" ".join(odd)] * 2):
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in words.ids(texts)]
+        assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+    class NoEncoder:
+        def encode(self, *_, **__):
+            raise AssertionError("a simple word went through the whole encoder")
+
+    words._tokenizer = NoEncoder()
+    text = "Fresh zuheitlich, mañanera!! ÜBERGRÖßE."
+    assert np.frombuffer(words.ids([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
